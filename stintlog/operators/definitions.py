@@ -223,14 +223,15 @@ def attach_channels(samples: DataFrame, channels: DataFrame) -> DataFrame:
 def text_conversion(samples: DataFrame, conversions: DataFrame) -> DataFrame:
     """Add ``text``: the string of the sample's value in its conversion, else its default.
 
-    ``conversions`` has one row per ``conversion_identifier``, with its parallel arrays.
+    ``conversions`` has one row per ``conversion_identifier``, with its parallel arrays. A
+    sample without such a conversion keeps a null text.
     """
     found = F.get(
         F.col("string_values"),
         (F.array_position("input_values", F.col("value")) - 1).cast("int"),
     )
     return (
-        samples.join(conversions, "conversion_identifier")
+        samples.join(conversions, "conversion_identifier", "left")
         .withColumn("text", F.coalesce(found, F.col("default_value")))
         .select(*samples.columns, "text")
     )

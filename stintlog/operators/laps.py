@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from stintlog.functions.times import NS_PER_SECOND, int_div
 from stintlog.operators.ordering import BUCKET_SPAN, max_before
+from stintlog.session import stored
 
 OUT_LAP, IN_LAP, PIT_LANE = "Out Lap", "In Lap", "Pit Lane"
 MAIN_TRIGGER, PIT_TRIGGER = 0, 1
@@ -49,6 +50,7 @@ def lap_guard(
     """
     keys = ["session_key", "_chunk"]
     time = F.col(time_col)
+    in_chunk = Window.partitionBy(*keys)
     maxima = (
         max_before(
             laps, ["session_key"], int_div("pkt_offset", bucket_span), ["pkt_offset"], time_col, "_prev"
@@ -56,26 +58,25 @@ def lap_guard(
         .where(F.col("_prev").isNull() | (time > F.col("_prev")))
         .withColumn("_sure", F.col("_prev").isNull() | (time - F.col("_prev") >= guard_ns))
         .withColumn("_chunk", int_div(time, guard_ns * chunk_guards))
+        .withColumn("_all_sure", F.min("_sure").over(in_chunk))
+        .withColumn("_is_last", time == F.max(time_col).over(in_chunk))
+        .drop("_prev", "_sure")
     )
-    chunks = maxima.groupBy(*keys).agg(
-        F.min("_sure").alias("_all_sure"), F.max(time_col).alias("_last")
-    )
-    marked = maxima.join(chunks.select(*keys, "_all_sure"), keys).drop("_prev", "_sure")
-    sure = marked.where("_all_sure").drop("_all_sure", "_chunk")
-    unsure = marked.where("not _all_sure").drop("_all_sure")
+    maxima = stored(maxima, "lap-maxima")
+    sure = maxima.where("_all_sure")
+    unsure = maxima.where("not _all_sure").drop("_all_sure", "_is_last")
 
-    step_schema = _schema(chunks, keys, "_first", "_last")
     steps = (
         unsure.select(*keys, time.alias("_time"))
         .groupBy(*keys)
-        .applyInPandas(_chunk_steps(guard_ns, chunk_guards), step_schema)
+        .applyInPandas(_chunk_steps(guard_ns, chunk_guards), _schema(maxima, keys, "_first", "_last"))
     )
     # In a chunk of sure laps any earlier state leads to the first lap, and so to the last.
-    sure_steps = chunks.where("_all_sure").select(*keys, F.col("_last").alias("_first"), "_last")
+    sure_steps = sure.where("_is_last").select(*keys, time.alias("_first"), time.alias("_last"))
     entries = (
         steps.unionByName(sure_steps)
         .groupBy("session_key")
-        .applyInPandas(_chunk_entries(guard_ns), _schema(chunks, keys, "_entry"))
+        .applyInPandas(_chunk_entries(guard_ns), _schema(maxima, keys, "_entry"))
     )
     kept = (
         unsure.join(entries, keys)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from stintlog.functions.times import as_column
+from stintlog.schemas import WIDE_SAMPLES
 
 # Euclid's algorithm on two unsigned 32-bit numbers ends within this many steps.
 EUCLID_STEPS = 47
@@ -48,17 +49,10 @@ def widen_list(samples: Column | str) -> Column:
     Integers and booleans become doubles. Text cannot; such a list, like an empty one, is null.
     """
     samples = as_column(samples)
-
-    def as_double(kind: str, convert) -> Column:
-        return F.transform(
-            samples[kind],
-            lambda s: F.struct(convert(s["value"]).alias("value"), s["status"].alias("status")),
-        )
-
     return F.coalesce(
-        as_double("double_samples", lambda v: v),
-        as_double("int32_samples", lambda v: v.cast("double")),
-        as_double("bool_samples", lambda v: v.cast("double")),
+        samples["double_samples"],
+        samples["int32_samples"].cast(WIDE_SAMPLES),
+        samples["bool_samples"].cast(WIDE_SAMPLES),
     )
 
 

@@ -26,6 +26,9 @@ NO_LAP_YET = -(1 << 62)
 # A session's time axis is cut into chunks of this many guard times.
 CHUNK_GUARDS = 360
 
+# Python handles the chunks of a part at once: this many parts per shuffle partition.
+PARTS_PER_PARTITION = 4
+
 
 def lap_guard(
     laps: DataFrame,
@@ -66,22 +69,28 @@ def lap_guard(
     sure = maxima.where("_all_sure")
     unsure = maxima.where("not _all_sure").drop("_all_sure", "_is_last")
 
-    steps = (
-        unsure.select(*keys, time.alias("_time"))
-        .groupBy(*keys)
-        .applyInPandas(_chunk_steps(guard_ns, chunk_guards), _schema(maxima, keys, "_first", "_last"))
+    parts = PARTS_PER_PARTITION * int(laps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def apply(rows: DataFrame, part_keys: list[str], function, schema: T.StructType) -> DataFrame:
+        part = F.pmod(F.xxhash64(*part_keys), F.lit(parts)).alias("_part")
+        return rows.groupBy(part).applyInPandas(function, schema)
+
+    steps = apply(
+        unsure.select(*keys, time.alias("_time")),
+        keys,
+        _chunk_steps(guard_ns, chunk_guards),
+        _schema(maxima, keys, "_first", "_last"),
     )
     # In a chunk of sure laps any earlier state leads to the first lap, and so to the last.
     sure_steps = sure.where("_is_last").select(*keys, time.alias("_first"), time.alias("_last"))
-    entries = (
-        steps.unionByName(sure_steps)
-        .groupBy("session_key")
-        .applyInPandas(_chunk_entries(guard_ns), _schema(maxima, keys, "_entry"))
+    entries = apply(
+        steps.unionByName(sure_steps),
+        ["session_key"],
+        _chunk_entries(guard_ns),
+        _schema(maxima, keys, "_entry"),
     )
-    kept = (
-        unsure.join(entries, keys)
-        .groupBy(*keys)
-        .applyInPandas(_walk(guard_ns, time_col), _schema(laps, laps.columns))
+    kept = apply(
+        unsure.join(entries, keys), keys, _walk(guard_ns, time_col), _schema(laps, laps.columns)
     )
     return sure.select(*laps.columns).unionByName(kept)
 
@@ -92,68 +101,80 @@ def _schema(df: DataFrame, columns: list[str], *times: str) -> T.StructType:
     )
 
 
+def _runs(*columns: np.ndarray) -> list[slice]:
+    """Slices of equal consecutive rows."""
+    if not len(columns[0]):
+        return []
+    changes = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    bounds = [0, *(np.flatnonzero(changes) + 1).tolist(), len(columns[0])]
+    return [slice(a, b) for a, b in zip(bounds[:-1], bounds[1:])]
+
+
 def _chunk_steps(guard_ns: int, chunk_guards: int):
-    """Steps of one chunk: a start at or before ``_first`` makes ``_last`` the last kept lap."""
+    """Steps of each chunk: a start at or before ``_first`` makes ``_last`` the last kept lap."""
 
-    def steps(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        times = np.sort(pdf["_time"].to_numpy())
+    def of_chunk(times: np.ndarray, chunk: int) -> tuple[np.ndarray, np.ndarray]:
         count = len(times)
         following = np.searchsorted(times, times + guard_ns)
         # Follow the kept laps to the end of the chunk for all starts at once, doubling the
         # stride; the last kept lap points to itself.
         end = np.where(following < count, following, np.arange(count))
-        while True:
-            further = end[end]
-            if np.array_equal(further, end):
-                break
+        while not np.array_equal(further := end[end], end):
             end = further
         # Whatever was kept before the chunk, the first lap kept in it is one of these.
-        border = key[1] * guard_ns * chunk_guards + guard_ns
+        border = (chunk * chunk_guards + 1) * guard_ns
         starts = min(int(np.searchsorted(times, border)) + 1, count)
         last = times[end[:starts]]
         merged = np.append(last[1:] != last[:-1], True)
-        return pd.DataFrame(
-            {
-                "session_key": key[0],
-                "_chunk": key[1],
-                "_first": times[:starts][merged],
-                "_last": last[merged],
-            }
-        )
+        return times[:starts][merged], last[merged]
+
+    def steps(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["session_key", "_chunk", "_time"])
+        session, chunk, time = (pdf[c].to_numpy() for c in ("session_key", "_chunk", "_time"))
+        out = []
+        for rows in _runs(session, chunk):
+            first, last = of_chunk(time[rows], int(chunk[rows.start]))
+            out += zip([session[rows.start]] * len(first), [chunk[rows.start]] * len(first), first, last)
+        return pd.DataFrame(out, columns=["session_key", "_chunk", "_first", "_last"])
 
     return steps
 
 
 def _chunk_entries(guard_ns: int):
-    """Earliest time at which a lap may be kept, per chunk of one session."""
-
-    def entries(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["_chunk", "_first"])
-        chunk, first, last = (pdf[c].to_numpy() for c in ("_chunk", "_first", "_last"))
-        bounds = np.flatnonzero(np.append(True, chunk[1:] != chunk[:-1])).tolist() + [len(chunk)]
-        entry = NO_LAP_YET
-        found = []
-        for start, stop in zip(bounds[:-1], bounds[1:]):
-            found.append(entry)
-            step = start + int(np.searchsorted(first[start:stop], entry))
-            if step < stop:
+    """Earliest time at which a lap may be kept, for each chunk of each session."""
+
+    def entries(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["session_key", "_chunk", "_first"])
+        session, chunk, first, last = (
+            pdf[c].to_numpy() for c in ("session_key", "_chunk", "_first", "_last")
+        )
+        out, current, entry = [], None, NO_LAP_YET
+        for rows in _runs(session, chunk):
+            if session[rows.start] != current:
+                current, entry = session[rows.start], NO_LAP_YET
+            out.append((current, chunk[rows.start], entry))
+            step = rows.start + int(np.searchsorted(first[rows], entry))
+            if step < rows.stop:
                 entry = int(last[step]) + guard_ns
-        return pd.DataFrame({"session_key": key[0], "_chunk": chunk[bounds[:-1]], "_entry": found})
+        return pd.DataFrame(out, columns=["session_key", "_chunk", "_entry"])
 
     return entries
 
 
 def _walk(guard_ns: int, time_col: str):
-    """Rows kept in one chunk, from its entry on."""
+    """Rows kept in each chunk, from its entry on."""
 
     def walk(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(time_col)
-        times = pdf[time_col].to_numpy()
+        pdf = pdf.sort_values(["session_key", "_chunk", time_col])
+        session, chunk, entry, time = (
+            pdf[c].to_numpy() for c in ("session_key", "_chunk", "_entry", time_col)
+        )
         kept = []
-        row = int(np.searchsorted(times, pdf["_entry"].iloc[0]))
-        while row < len(times):
-            kept.append(row)
-            row = int(np.searchsorted(times, times[row] + guard_ns))
+        for rows in _runs(session, chunk):
+            row = rows.start + int(np.searchsorted(time[rows], entry[rows.start]))
+            while row < rows.stop:
+                kept.append(row)
+                row = rows.start + int(np.searchsorted(time[rows], time[row] + guard_ns))
         return pdf.iloc[kept].drop(columns=["_chunk", "_entry"])
 
     return walk

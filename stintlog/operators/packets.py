@@ -190,6 +190,15 @@ def decoded_content(content: Column, schema: T.StructType) -> Column:
     )
 
 
+def _present(value: Column) -> Column:
+    """Generator that drops the rows where ``value`` is null.
+
+    A filter on a costly expression would compute it again next to the projection; a generator
+    computes it once.
+    """
+    return F.explode(F.array_compact(F.array(value)))
+
+
 def decode_content(packets: DataFrame, kind: str, schema: T.StructType | None = None) -> DataFrame:
     """Packets of one kind with their content decoded into columns of its schema.
 
@@ -198,10 +207,9 @@ def decode_content(packets: DataFrame, kind: str, schema: T.StructType | None =
     """
     schema = schema or CONTENT[kind]
     envelope = [c for c in packets.columns if c != "content"]
-    decoded = packets.where(F.col("type") == kind).withColumn(
-        "decoded", decoded_content(F.col("content"), schema)
-    )
-    return decoded.where(F.col("decoded").isNotNull()).select(
+    return packets.where(F.col("type") == kind).select(
+        *envelope, _present(decoded_content(F.col("content"), schema)).alias("decoded")
+    ).select(
         *envelope,
         *[
             F.col(f"decoded.{f.name}").alias(f"content_{f.name}" if f.name in envelope else f.name)
@@ -218,7 +226,7 @@ def reject_packets(
     for kind, schema in schemas.items():
         bad = (F.col("type") == kind) & decoded_content(F.col("content"), schema).isNull()
         reason = reason.when(bad, "undecodable content")
-    return packets.withColumn("reason", reason).where(F.col("reason").isNotNull())
+    return packets.withColumn("reason", _present(reason))
 
 
 def payload_shape(row_packets: DataFrame) -> DataFrame:

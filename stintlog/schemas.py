@@ -26,6 +26,9 @@ SAMPLE_LIST = record(
     string_samples=_many(record(value=TEXT, status=TEXT)),
 )
 
+# What a typed list becomes once its values are doubles.
+WIDE_SAMPLES = _many(record(value=DOUBLE, status=TEXT))
+
 _CONVERSION = record(
     conversion_identifier=TEXT,
     input_values=_many(DOUBLE),

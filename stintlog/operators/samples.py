@@ -39,12 +39,9 @@ def explode_periodic(packets: DataFrame) -> DataFrame:
     carried = _carried(packets, "params", "columns", "start_ns")
     columns = packets.select(
         *carried, "start_ns", F.explode(F.arrays_zip("params", "columns")).alias("c")
-    )
+    ).select(*carried, "start_ns", F.col("c.params").alias("parameter"), "c.columns")
     samples = columns.select(
-        *carried,
-        "start_ns",
-        F.col("c.params").alias("parameter"),
-        F.posexplode("c.columns").alias("i", "sample"),
+        *carried, "start_ns", "parameter", F.posexplode("columns").alias("i", "sample")
     )
     return _samples(samples, carried, F.col("start_ns") + F.col("interval_ns") * F.col("i"), "Periodic")
 
@@ -54,11 +51,9 @@ def explode_rows(packets: DataFrame) -> DataFrame:
     carried = _carried(packets, "params", "timestamps", "rows")
     rows = packets.select(
         *carried, "params", F.explode(F.arrays_zip("timestamps", "rows")).alias("r")
-    )
+    ).select(*carried, "params", F.col("r.timestamps").alias("row_ns"), F.col("r.rows").alias("row"))
     values = rows.select(
-        *carried,
-        F.col("r.timestamps").alias("row_ns"),
-        F.explode(F.arrays_zip(F.col("params"), F.col("r.rows").alias("row"))).alias("v"),
+        *carried, "row_ns", F.explode(F.arrays_zip("params", "row")).alias("v")
     ).select(
         *carried, "row_ns", F.col("v.params").alias("parameter"), F.col("v.row").alias("sample")
     )
@@ -76,11 +71,9 @@ def explode_synchro(packets: DataFrame) -> DataFrame:
     times = packets.withColumn("times", prefix_sums("start_ns", "intervals"))
     columns = times.select(
         *carried, "times", F.explode(F.arrays_zip("params", "columns")).alias("c")
-    ).where(_fits(F.size("c.columns"), F.size("times") - 1))
-    samples = columns.select(
-        *carried,
-        F.col("c.params").alias("parameter"),
-        F.explode(F.arrays_zip(F.col("times"), F.col("c.columns").alias("values"))).alias("t"),
+    ).select(*carried, "times", F.col("c.params").alias("parameter"), F.col("c.columns").alias("values"))
+    samples = columns.where(_fits(F.size("values"), F.size("times") - 1)).select(
+        *carried, "parameter", F.explode(F.arrays_zip("times", "values")).alias("t")
     ).select(
         *carried, "parameter", F.col("t.times").alias("at_ns"), F.col("t.values").alias("sample")
     )

@@ -378,7 +378,7 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     "sample_report",
     f"""
     select session_key, parameter, count(*) as n_samples, count(v) as n_valid, min(v) as min_value,
-      max(v) as max_value, cast(sum(cast(v as decimal(20, 6))) as double) / count(v) as mean_value
+      max(v) as max_value, cast(sum(cast(round(v * 1e6) as bigint)) as double) / 1e6 / count(v) as mean_value
     from (select *, case when status = 'VALID' then value end as v from ({samples_sql()}))
     group by session_key, parameter
     """,

@@ -228,7 +228,7 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     "latency_stats",
     f"""
     select run_id, kind, max(latency_ms) as max_ms,
-      cast(sum(cast(latency_ms as decimal(20, 6))) as double) / count(*) as avg_ms, min(latency_ms) as min_ms
+      cast(sum(cast(round(latency_ms * 1e6) as bigint)) as double) / 1e6 / count(*) as avg_ms, min(latency_ms) as min_ms
     from (select *, row_number() over (partition by run_id, kind order by pkt_offset) as rn from ({MATCHED_SQL}))
     where rn > 1 group by run_id, kind
     """,

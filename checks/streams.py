@@ -34,7 +34,7 @@ def drained(
     recorder.stream_tables(
         source, lambda batch: {name: shape(batch) if shape else batch}, path, checkpoint, output_mode=output_mode
     ).awaitTermination()
-    return session_tables.load_table(spark, path, name).drop("batch", session_tables.BUCKET)
+    return session_tables.load_table(spark, path, name).drop(*session_tables.LAYOUT)
 
 
 @query("stream_samples", SAMPLES_SQL)
@@ -43,7 +43,7 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     recorder.stream_samples(
         packet_log(stream(spark, sf_dir)), formats(spark), path, checkpoint
     ).awaitTermination()
-    return session_tables.load_table(spark, path, "samples").drop("batch", session_tables.BUCKET)
+    return session_tables.load_table(spark, path, "samples").drop(*session_tables.LAYOUT)
 
 
 @query(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from stintlog.functions.names import event_priority, full_identifier, hex_id, parse_identifier
@@ -92,17 +94,25 @@ def application_groups(config: DataFrame) -> DataFrame:
     return config.select("config_id", F.explode(every).alias("application")).distinct()
 
 
-def missing_parameters(samples: DataFrame, definitions: DataFrame) -> DataFrame:
-    """Parameters (full identifiers) that occur in data but have no definition."""
-    seen = samples.select(full_identifier("parameter").alias("identifier")).distinct()
-    known = definitions.select(full_identifier("identifier").alias("identifier")).distinct()
-    return seen.join(known, "identifier", "left_anti")
+def missing_parameters(
+    samples: DataFrame, definitions: DataFrame, by: Sequence[str] = ()
+) -> DataFrame:
+    """Parameters (full identifiers) that occur in data but have no definition.
+
+    With ``by=["session_key"]`` a definition holds for its own session only.
+    """
+    seen = samples.select(*by, full_identifier("parameter").alias("identifier")).distinct()
+    known = definitions.select(*by, full_identifier("identifier").alias("identifier")).distinct()
+    return seen.join(known, [*by, "identifier"], "left_anti")
 
 
-def missing_events(events: DataFrame, definitions: DataFrame) -> DataFrame:
+def missing_events(
+    events: DataFrame, definitions: DataFrame, by: Sequence[str] = ()
+) -> DataFrame:
     """Events that occur in data but have no definition."""
-    seen = events.select(F.col("event_identifier").alias("identifier")).distinct()
-    return seen.join(definitions.select("identifier").distinct(), "identifier", "left_anti")
+    seen = events.select(*by, F.col("event_identifier").alias("identifier")).distinct()
+    known = definitions.select(*by, "identifier").distinct()
+    return seen.join(known, [*by, "identifier"], "left_anti")
 
 
 def default_parameter_definitions(missing: DataFrame) -> DataFrame:

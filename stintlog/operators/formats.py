@@ -6,11 +6,16 @@ Lookups carry no broadcast hint: Spark broadcasts a side whose size it knows to
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from stintlog.operators.ordering import BUCKET_SPAN, number_rows
 from stintlog.functions.times import int_div
 
+# Join keys that packets without a format id are spread over.
+INLINE_KEYS = 4096
+
 
 def list_formats(packets: DataFrame) -> DataFrame:
     """Format definitions of the essentials log (decoded ``DataFormatDefinition`` packets).
@@ -27,54 +32,83 @@ def list_formats(packets: DataFrame) -> DataFrame:
     )
 
 
-def _resolve(packets: DataFrame, formats: DataFrame, kind: str, found: str, inline: str) -> DataFrame:
+def _resolve(
+    packets: DataFrame, formats: DataFrame, kind: str, column: str, by: Sequence[str]
+) -> DataFrame:
     dimension = formats.where((F.col("kind") == kind) & (F.col("format_id") != 0)).select(
-        F.col("format_id").alias("_id"), F.col(found).alias("_found")
+        *by, F.col("format_id").alias("_id"), F.col(column).alias("_found")
     )
-    resolved = F.when(F.col("format_id") != 0, F.col("_found")).otherwise(F.col(inline))
+    # Packets with an inline name match no format. Ids are not negative, so negative keys keep
+    # such packets apart instead of gathering them all under id 0.
+    spread = -1 - F.pmod("pkt_offset", F.lit(INLINE_KEYS))
+    keyed = packets.withColumn(
+        "_id", F.when(F.col("format_id") != 0, F.col("format_id")).otherwise(spread)
+    )
+    resolved = F.when(F.col("format_id") != 0, F.col("_found")).otherwise(F.col(column))
     return (
-        packets.join(dimension, F.col("format_id") == F.col("_id"), "left")
-        .withColumn(inline, resolved)
-        .drop("_id", "_found")
+        keyed.join(dimension, [*by, "_id"], "left")
+        .withColumn(column, resolved)
+        .select(*packets.columns)
     )
 
 
-def resolve_parameter_list(packets: DataFrame, formats: DataFrame) -> DataFrame:
-    """Replace ``params`` by the list of a non-zero format id; null when the id is unknown."""
-    return _resolve(packets, formats, "parameter", "params", "params")
+def resolve_parameter_list(
+    packets: DataFrame, formats: DataFrame, by: Sequence[str] = ()
+) -> DataFrame:
+    """Replace ``params`` by the list of a non-zero format id; null when the id is unknown.
 
+    Where ids are only unique per data source, pass ``by=["data_source"]``.
+    """
+    return _resolve(packets, formats, "parameter", "params", by)
 
-def resolve_event(packets: DataFrame, formats: DataFrame) -> DataFrame:
+
+def resolve_event(packets: DataFrame, formats: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Replace ``event_identifier`` by the name of a non-zero format id; null when unknown."""
-    return _resolve(packets, formats, "event", "event_identifier", "event_identifier")
+    return _resolve(packets, formats, "event", "event_identifier", by)
 
 
-def _register(seen: DataFrame, formats: DataFrame, kind: str, key: str) -> DataFrame:
-    known = formats.where(F.col("kind") == kind).select("format_id", key)
+def _register(
+    seen: DataFrame, formats: DataFrame, kind: str, key: str, by: Sequence[str]
+) -> DataFrame:
+    by = list(by)
+    known = formats.where(F.col("kind") == kind).select(*by, "format_id", key)
     new = (
-        seen.groupBy(key)
+        seen.groupBy(*by, key)
         .agg(F.min("pkt_offset").alias("first_offset"))
-        .join(known, key, "left_anti")
+        .join(known, [*by, key], "left_anti")
+    )
+    numbered = number_rows(new, by, int_div("first_offset", BUCKET_SPAN), ["first_offset", key])
+    if by:
+        last = formats.groupBy(*by).agg(F.max("format_id").alias("_last"))
+        numbered = numbered.join(last, by, "left")
+    else:
+        numbered = numbered.withColumn("_last", formats.agg(F.max("format_id")).scalar())
+    created = numbered.select(
+        *by,
+        (F.coalesce("_last", F.lit(0)) + F.col("position")).alias("format_id"),
+        key,
+        F.lit(True).alias("is_new"),
     )
-    last_id = formats.agg(F.coalesce(F.max("format_id"), F.lit(0))).scalar()
-    numbered = number_rows(
-        new, [], int_div("first_offset", BUCKET_SPAN), ["first_offset", key]
-    ).select((last_id + F.col("position")).alias("format_id"), key, F.lit(True).alias("is_new"))
-    return known.withColumn("is_new", F.lit(False)).unionByName(numbered)
+    return known.withColumn("is_new", F.lit(False)).unionByName(created)
 
 
-def register_parameter_format(lists: DataFrame, formats: DataFrame) -> DataFrame:
+def register_parameter_format(
+    lists: DataFrame, formats: DataFrame, by: Sequence[str] = ()
+) -> DataFrame:
     """Get or create the id of each parameter list; the order of a list is part of its key.
 
-    New ids are dense, after the largest known one, in order of first appearance.
+    New ids are dense, after the largest known one (of the ``by`` columns, if given), in order
+    of first appearance.
     """
-    return _register(lists.where(F.size("params") > 0), formats, "parameter", "params")
+    return _register(lists.where(F.size("params") > 0), formats, "parameter", "params", by)
 
 
-def register_event_format(events: DataFrame, formats: DataFrame) -> DataFrame:
+def register_event_format(
+    events: DataFrame, formats: DataFrame, by: Sequence[str] = ()
+) -> DataFrame:
     """Get or create the id of each event name."""
     named = events.where(F.col("event_identifier") != "")
-    return _register(named, formats, "event", "event_identifier")
+    return _register(named, formats, "event", "event_identifier", by)
 
 
 def positional_name(params: Column, position: Column) -> Column:

@@ -16,6 +16,7 @@ from stintlog.functions.times import NS_PER_SECOND, int_div
 from stintlog.operators.ordering import BUCKET_SPAN, max_before
 from stintlog.session import stored
 
+# Fixed values.
 OUT_LAP, IN_LAP, PIT_LANE = "Out Lap", "In Lap", "Pit Lane"
 MAIN_TRIGGER, PIT_TRIGGER = 0, 1
 GUARD_NS = 10 * NS_PER_SECOND

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from typing import Literal
 
@@ -199,16 +199,22 @@ def _present(value: Column) -> Column:
     return F.explode(F.array_compact(F.array(value)))
 
 
-def decode_content(packets: DataFrame, kind: str, schema: T.StructType | None = None) -> DataFrame:
+def decode_content(
+    packets: DataFrame,
+    kind: str,
+    schema: T.StructType | None = None,
+    decoder: Callable[[Column, T.StructType], Column] = decoded_content,
+) -> DataFrame:
     """Packets of one kind with their content decoded into columns of its schema.
 
-    Envelope columns keep their names, so a content field of the same name is prefixed with
+    Content is JSON unless ``decoder`` says otherwise (for example with ``from_protobuf``); it
+    returns null for content it cannot read. Envelope columns keep their names, so a content field of the same name is prefixed with
     ``content_``. Undecodable packets are left out; ``reject_packets`` has them.
     """
     schema = schema or CONTENT[kind]
     envelope = [c for c in packets.columns if c != "content"]
     return packets.where(F.col("type") == kind).select(
-        *envelope, _present(decoded_content(F.col("content"), schema)).alias("decoded")
+        *envelope, _present(decoder(F.col("content"), schema)).alias("decoded")
     ).select(
         *envelope,
         *[

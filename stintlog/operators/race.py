@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from stintlog.functions.times import day_time
 
+# Fixed value.
 LAP_TRIGGER = "Lap Trigger"
 
 
@@ -40,15 +43,15 @@ def dedupe_markers(markers: DataFrame) -> DataFrame:
     )
 
 
-def events(packets: DataFrame, definitions: DataFrame) -> DataFrame:
+def events(packets: DataFrame, definitions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Events with the id and application of their definition; undefined ones are not stored.
 
-    ``definitions`` has one row per identifier. Null names never match, so they are dropped
-    before the join instead of meeting in one task.
+    ``definitions`` has one row per identifier (and ``by`` columns, such as the session).
     """
-    known = definitions.select("identifier", "definition_id", "application_name")
-    named = packets.where(F.col("event_identifier").isNotNull())
-    return named.join(known, F.col("event_identifier") == F.col("identifier")).select(
+    known = definitions.select(
+        *by, F.col("identifier").alias("event_identifier"), "definition_id", "application_name"
+    )
+    return packets.join(known, [*by, "event_identifier"]).select(
         "pkt_offset",
         "session_key",
         "definition_id",

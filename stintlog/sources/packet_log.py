@@ -8,8 +8,10 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from stintlog.operators.packets import ESSENTIALS, MAIN_STREAM, ReadSpec, select_packets
-from stintlog.schemas import PACKETS
+from stintlog.operators.packets import (
+    ESSENTIALS, MAIN_STREAM, ReadSpec, match_session, select_packets,
+)
+from stintlog.schemas import BOOL, PACKETS, TEXT, record
 
 # Reading one kind, stream or source then reads only its folders.
 PARTITIONS = ["data_source", "stream", "type"]
@@ -68,6 +70,57 @@ def kafka_options(
     return options
 
 
+# The value of a Kafka record: the packet's envelope with its content.
+KAFKA_VALUE = record(type=TEXT, session_key=TEXT, is_essential=BOOL, content=TEXT)
+
+
+def kafka_packets(
+    records: DataFrame, data_source: str, partitions: Mapping[str, int] | None = None
+) -> DataFrame:
+    """Packets from the records of Spark's Kafka source, batch or stream.
+
+    The stream is the part of the topic after the data source, or with ``partitions`` the one
+    mapped to the record's partition. Offsets count per topic and partition.
+    """
+    if partitions is None:
+        stream = F.substring("topic", len(data_source) + 2, 1 << 20)
+    else:
+        stream = F.lit(MAIN_STREAM)
+        for name, number in partitions.items():
+            stream = F.when(F.col("partition") == number, name).otherwise(stream)
+    value = F.from_json(F.col("value").cast("string"), KAFKA_VALUE)
+    return records.select(
+        F.col("offset").alias("pkt_offset"),
+        F.lit(data_source).alias("data_source"),
+        stream.alias("stream"),
+        F.col("timestamp").alias("submit_time"),
+        value.alias("v"),
+    ).select("pkt_offset", "data_source", "stream", "submit_time", "v.*")
+
+
+def read_kafka(
+    spark: SparkSession,
+    spec: ReadSpec,
+    servers: str,
+    strategy: str,
+    partitions: Mapping[str, int] | None = None,
+    streaming: bool = True,
+    packets_per_trigger: int | None = None,
+) -> DataFrame:
+    """Packets of a spec from Kafka; needs Spark's Kafka package on the class path.
+
+    The main stream's topic or partition is read unless the spec excludes it.
+    """
+    reader = (spark.readStream if streaming else spark.read).format("kafka")
+    if packets_per_trigger:
+        reader = reader.option("maxOffsetsPerTrigger", packets_per_trigger)
+    records = reader.options(**kafka_options(spec, servers, strategy, partitions)).load()
+    packets = kafka_packets(
+        records, spec.data_source, partitions or {} if strategy == "partition" else None
+    )
+    return match_session(packets, spec.session_key) if spec.session_key else packets
+
+
 def write_packets(packets: DataFrame, path: str, mode: str = "append") -> None:
     """Append packets to a log, partitioned so that reads prune.
 

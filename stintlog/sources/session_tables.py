@@ -10,41 +10,55 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 # session inside, so one session is found by folder and by row-group statistics.
 SESSION_BUCKETS = 64
 BUCKET = "session_bucket"
+BATCH = "batch"
+# Columns that only say where a record is stored.
+LAYOUT = (BUCKET, BATCH)
 
 
 def session_bucket(session_key: Column) -> Column:
     return F.pmod(F.xxhash64(session_key), F.lit(SESSION_BUCKETS)).cast("int")
 
 
-def write_session_tables(
-    tables: Mapping[str, DataFrame], path: str, batch_id: int | None = None
-) -> None:
-    """Write each kind's records to its own table below ``path``.
+def write_session_tables(tables: Mapping[str, DataFrame], path: str) -> None:
+    """Write each kind's records to its own table below ``path``, replacing it.
 
-    With ``batch_id`` (a micro-batch), the batch's folder is replaced: a retry after a failure
-    leaves no duplicates. Without, the table is.
+    The rebalance gives each folder to few tasks, and an oversized folder to several.
     """
     for kind, records in tables.items():
-        target = f"{path}/{kind}"
-        if batch_id is not None:
-            target += f"/batch={batch_id}"
         (
             records.withColumn(BUCKET, session_bucket(F.col("session_key")))
             .hint("rebalance", BUCKET)
             .sortWithinPartitions(BUCKET, "session_key")
             .write.mode("overwrite")
             .partitionBy(BUCKET)
-            .parquet(target)
+            .parquet(f"{path}/{kind}")
+        )
+
+
+def write_batch(tables: Mapping[str, DataFrame], path: str, batch_id: int) -> None:
+    """Add a micro-batch to each kind's table, as a folder of its own.
+
+    A repeated batch replaces its folder, so a retry after a failure leaves no duplicates. The
+    batch is written where it was computed, without a shuffle; write the finished table once
+    more with ``write_session_tables`` to cluster it by session.
+    """
+    for kind, records in tables.items():
+        (
+            records.sortWithinPartitions("session_key")
+            .write.mode("overwrite")
+            .parquet(f"{path}/{kind}/batch={batch_id}")
         )
 
 
 def load_session(spark: SparkSession, path: str, kind: str, session_key: str) -> DataFrame:
-    """Records of one kind of one stored session; reads only the session's folder."""
+    """Records of one kind of one stored session.
+
+    Reads only the session's folder of a clustered table, and row groups that may hold it.
+    """
     records = load_table(spark, path, kind)
-    return records.where(
-        (F.col(BUCKET) == session_bucket(F.lit(session_key)))
-        & (F.col("session_key") == session_key)
-    ).drop(BUCKET)
+    if BUCKET in records.columns:
+        records = records.where(F.col(BUCKET) == session_bucket(F.lit(session_key)))
+    return records.where(F.col("session_key") == session_key).drop(*LAYOUT)
 
 
 def load_table(spark: SparkSession, path: str, kind: str) -> DataFrame:

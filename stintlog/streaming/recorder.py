@@ -17,7 +17,7 @@ from stintlog.operators.packets import ReadSpec
 from stintlog.plans.recording import record_session_tables, samples_of
 from stintlog.schemas import BOOL, INT, LONG, TEXT, record
 from stintlog.sources.packet_log import read_packets
-from stintlog.sources.session_tables import write_session_tables
+from stintlog.sources.session_tables import write_batch
 
 # A hot (session, parameter) is spread over this many keys of a stream join.
 SALTS = 16
@@ -44,7 +44,7 @@ def stream_tables(
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            write_session_tables(tables(batch), path, batch_id)
+            write_batch(tables(batch), path, batch_id)
         finally:
             batch.unpersist()
 
@@ -96,7 +96,11 @@ def hold_and_replay(
         held = held.withColumn("taken_at", to_timestamp("ts_ns")).withWatermark("taken_at", ttl)
     known = (
         known.dropDuplicates(keys)
-        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        if known.isStreaming
+        else known.groupBy(*keys).agg(F.min("defined_at").alias("defined_at"))
+    )
+    known = (
+        known.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         .withColumn("defined", F.lit(True))
     )
     s, d = held.alias("s"), known.alias("d")

@@ -48,7 +48,8 @@ def test_format_ids_are_kept_and_extended(spark):
 def test_unknown_format_is_null_and_fails_arity(spark):
     formats = spark.createDataFrame([(3, "parameter", ["a"], None)], "format_id bigint, kind string, params array<string>, event_identifier string")
     blocks = spark.createDataFrame(
-        [(0, ["x"], [1]), (3, None, [1]), (4, None, [1]), (3, None, [1, 2])], "format_id bigint, params array<string>, columns array<int>"
+        [(0, 0, ["x"], [1]), (1, 3, None, [1]), (2, 4, None, [1]), (3, 3, None, [1, 2])],
+        "pkt_offset bigint, format_id bigint, params array<string>, columns array<int>",
     )
     checked = fm.check_arity(fm.resolve_parameter_list(blocks, formats))
     assert sorted((r.format_id, r.params, r.arity_error or "") for r in checked.collect()) == [
@@ -100,3 +101,27 @@ def test_lap_numbers_wrap(spark):
     laps, points = race.split_markers(markers)
     assert sorted((r.lap_number, r.trigger_source) for r in laps.collect()) == [(3, 1), (4464, 0)]
     assert points.count() == 1
+
+
+def test_formats_and_definitions_per_owner(spark):
+    formats = spark.createDataFrame(
+        [("D", 1, "parameter", ["a"], None), ("E", 1, "parameter", ["b"], None)],
+        "data_source string, format_id bigint, kind string, params array<string>, event_identifier string",
+    )
+    blocks = spark.createDataFrame(
+        [(0, "D", 1, None), (1, "E", 1, None), (2, "E", 0, ["x"])],
+        "pkt_offset bigint, data_source string, format_id bigint, params array<string>",
+    )
+    resolved = fm.resolve_parameter_list(blocks, formats, by=["data_source"])
+    assert [r.params for r in resolved.orderBy("pkt_offset").collect()] == [["a"], ["b"], ["x"]]
+    lists = spark.createDataFrame(
+        [(0, "D", ["b"]), (1, "E", ["b"]), (2, "F", ["b"])], "pkt_offset bigint, data_source string, params array<string>"
+    )
+    registered = fm.register_parameter_format(lists, formats, by=["data_source"])
+    assert sorted((r.data_source, r.format_id, r.params) for r in registered.where("is_new").collect()) == [
+        ("D", 2, ["b"]), ("F", 1, ["b"]),
+    ]
+    seen = spark.createDataFrame([("S", "p:A"), ("T", "p:A")], "session_key string, parameter string")
+    known = spark.createDataFrame([("S", "p:A")], "session_key string, identifier string")
+    missing = df.missing_parameters(seen, known, by=["session_key"])
+    assert [tuple(r) for r in missing.collect()] == [("T", "p:A")]

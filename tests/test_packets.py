@@ -64,6 +64,20 @@ def test_kafka_options():
         log.kafka_options(pk.ReadSpec(), "b:9092", "topic")
 
 
+def test_kafka_records(spark):
+    value = '{"type": "RowData", "session_key": "A", "is_essential": false, "content": "{}"}'
+    records = spark.createDataFrame(
+        [("D", 0, 4, bytearray(value.encode())), ("D.s1", 1, 5, bytearray(value.encode())), ("D", 7, 6, bytearray(b"?"))],
+        "topic string, partition int, offset bigint, value binary",
+    ).selectExpr("*", "timestamp '2024-01-01' as timestamp")
+    by_topic = log.kafka_packets(records, "D").orderBy("pkt_offset").collect()
+    assert [(r.pkt_offset, r.stream, r.type, r.session_key) for r in by_topic] == [
+        (4, "", "RowData", "A"), (5, "s1", "RowData", "A"), (6, "", None, None),
+    ]
+    by_partition = log.kafka_packets(records, "D", {"s1": 1, "s7": 7}).orderBy("pkt_offset").collect()
+    assert [r.stream for r in by_partition] == ["", "s1", "s7"]
+
+
 def test_decoded_plus_rejected_is_everything(spark):
     packets = packet_log(frame(spark, SF, "packets"))
     decoded = sum(pk.decode_content(packets, kind).count() for kind in pk.DATA_KINDS)
@@ -104,7 +118,7 @@ def test_repeated_batch_replaces_itself(spark):
     path = shared_dir(spark, "tables")
     markers = frame(spark, SF, "markers")
     for _ in range(2):
-        session_tables.write_session_tables({"markers": markers}, path, batch_id=3)
+        session_tables.write_batch({"markers": markers}, path, 3)
     assert session_tables.load_table(spark, path, "markers").count() == markers.count()
 
 

@@ -54,13 +54,3 @@ def test_filters_and_columns_reach_the_scan(spark):
     schema = re.search(r"ReadSchema: struct<([^>]*)>", text).group(1)
     assert "value" not in schema and "props" not in schema
 
-
-NOT_LAZY = {"write_packets", "write_info_packets", "write_session_tables", "load_session", "replay_history"}
-
-
-@pytest.mark.parametrize("name", sorted(entry.queries()))
-def test_no_cross_join(spark, name):
-    if name in NOT_LAZY or name.startswith(("stream_", "hold_")):
-        pytest.skip("runs jobs while it is built; its parts are covered by the other queries")
-    text = plan(entry.queries()[name](spark, SF))
-    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text

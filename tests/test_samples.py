@@ -86,3 +86,12 @@ def test_row_report_mean_is_independent_of_order(spark):
     samples = sm.explode_rows(row_blocks(frame(spark, SF, "rows")))
     mean = lambda df: df.agg(sm.exact_mean("value").alias("m")).first().m
     assert mean(samples) == mean(samples.repartition(13)) == mean(samples.orderBy("value"))
+
+
+def test_mean_of_awkward_values(spark):
+    nan, big = float("nan"), 1e300
+    rows = [("whole", 0.1), ("whole", 0.2), ("fine", 1e-9), ("fine", 3e-9), ("nan", 1.0), ("nan", nan), ("big", big), ("big", 0.0)]
+    means = dict(
+        spark.createDataFrame(rows, "k string, v double").groupBy("k").agg(sm.exact_mean("v")).collect()
+    )
+    assert means["whole"] == 0.3 / 2 and means["fine"] == 2e-9 and isnan(means["nan"]) and means["big"] == big / 2

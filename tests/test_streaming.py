@@ -56,7 +56,7 @@ def feed(spark, folder, df, parts, shuffled=False):
 def run(stream, spark, name, mode="append", checkpoint=None, path=None):
     path, checkpoint = path or shared_dir(spark, name), checkpoint or shared_dir(spark, "checkpoint")
     recorder.stream_tables(stream, lambda b: {name: b}, path, checkpoint, output_mode=mode).awaitTermination()
-    return session_tables.load_table(spark, path, name).drop("batch", "session_bucket")
+    return session_tables.load_table(spark, path, name).drop(*session_tables.LAYOUT)
 
 
 def same(a, b):
@@ -174,7 +174,7 @@ def test_replay_records_a_session_once(spark):
         recorder.replay_history(spark, archive, "S3", formats(spark), path, checkpoint)
     one = packets.where("session_key = 'S3'")
     for name, want in recording.record_session_tables(one, formats(spark)).items():
-        got = session_tables.load_session(spark, path, name, "S3").drop("batch")
+        got = session_tables.load_session(spark, path, name, "S3")
         assert same(want, got), name
 
 

@@ -94,6 +94,18 @@ def application_groups(config: DataFrame) -> DataFrame:
     return config.select("config_id", F.explode(every).alias("application")).distinct()
 
 
+def current_definitions(definitions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """One definition per identifier: the one of the latest packet."""
+    keys = [*by, "identifier"]
+    rest = [c for c in definitions.columns if c not in keys]
+    return (
+        definitions.groupBy(*keys)
+        .agg(F.max_by(F.struct(*rest), "pkt_offset").alias("d"))
+        .select(*keys, "d.*")
+        .select(*definitions.columns)
+    )
+
+
 def missing_parameters(
     samples: DataFrame, definitions: DataFrame, by: Sequence[str] = ()
 ) -> DataFrame:
@@ -191,32 +203,36 @@ def _channel_interval(kind: Column) -> Column:
     return F.when(kind == "Periodic", F.col("interval_ns")).otherwise(F.lit(0)).cast("bigint")
 
 
-def assign_channels(parameters: DataFrame) -> DataFrame:
+def assign_channels(parameters: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """A channel id, unique in its session, per parameter (and interval, if periodic).
 
-    Takes ``session_key, kind, parameter, interval_ns``, repeats allowed. Ids number the keys
-    by their MD5, so they do not depend on arrival and a large session is numbered in parts.
+    Takes ``session_key, kind, parameter, interval_ns``, repeats allowed. Channels in ``known``
+    (an earlier result) keep their ids, and new ones follow. Ids number the keys by their MD5,
+    so they do not depend on arrival, and a large session is numbered in parts.
     """
-    key = F.concat_ws("|", "space", "parameter", F.col("channel_interval").cast("string"))
-    channels = (
-        parameters.select(
-            "session_key",
-            _channel_space(F.col("kind")).alias("space"),
-            "parameter",
-            _channel_interval(F.col("kind")).alias("channel_interval"),
-        )
-        .distinct()
-        .withColumn("_md5", F.md5(key.cast("binary")))
-    )
-    numbered = number_rows(
-        channels, ["session_key"], F.substring("_md5", 1, 2), ["_md5"], "number"
-    )
-    return numbered.select(
+    keys = ["session_key", "space", "parameter", "channel_interval"]
+    text = F.concat_ws("|", "space", "parameter", F.col("channel_interval").cast("string"))
+    channels = parameters.select(
         "session_key",
-        "space",
+        _channel_space(F.col("kind")).alias("space"),
         "parameter",
-        "channel_interval",
-        (F.col("number") % MAX_CHANNEL_ID).alias("channel_id"),
+        _channel_interval(F.col("kind")).alias("channel_interval"),
+    ).distinct()
+    if known is not None:
+        channels = channels.join(known, keys, "left_anti")
+    numbered = number_rows(
+        channels.withColumn("_md5", F.md5(text.cast("binary"))),
+        ["session_key"],
+        F.substring("_md5", 1, 2),
+        ["_md5"],
+        "number",
+    )
+    if known is None:
+        return numbered.select(*keys, (F.col("number") % MAX_CHANNEL_ID).alias("channel_id"))
+    last = known.groupBy("session_key").agg(F.max("channel_id").alias("_last"))
+    following = (F.coalesce("_last", F.lit(0)) + F.col("number")) % MAX_CHANNEL_ID
+    return known.unionByName(
+        numbered.join(last, "session_key", "left").select(*keys, following.alias("channel_id"))
     )
 
 

@@ -38,6 +38,8 @@ def _resolve(
     dimension = formats.where((F.col("kind") == kind) & (F.col("format_id") != 0)).select(
         *by, F.col("format_id").alias("_id"), F.col(column).alias("_found")
     )
+    # A format may be announced more than once; an id never changes its meaning.
+    dimension = dimension.dropDuplicates([*by, "_id"])
     # Packets with an inline name match no format. Ids are not negative, so negative keys keep
     # such packets apart instead of gathering them all under id 0.
     spread = -1 - F.pmod("pkt_offset", F.lit(INLINE_KEYS))

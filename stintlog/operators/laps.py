@@ -25,7 +25,7 @@ GUARD_NS = 10 * NS_PER_SECOND
 NO_LAP_YET = -(1 << 62)
 
 # A session's time axis is cut into chunks of this many guard times.
-CHUNK_GUARDS = 360
+CHUNK_GUARDS = 60
 
 # Python handles the chunks of a part at once: this many parts per shuffle partition.
 PARTS_PER_PARTITION = 4
@@ -51,6 +51,9 @@ def lap_guard(
        reduced to steps (first lap kept -> last lap kept), neighbours with the same end
        merged; the steps are walked once per session to find where each chunk starts.
     4. Each chunk is then walked from its start.
+
+    At the default sizes a chunk is ten minutes of one session. Walks from different starts soon
+    meet, so even a session with a billion triggers a day leaves well under a million steps.
     """
     keys = ["session_key", "_chunk"]
     time = F.col(time_col)

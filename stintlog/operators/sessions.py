@@ -16,13 +16,21 @@ from stintlog.operators.ordering import BUCKET_SPAN, number_rows
 # Record kinds that stretch a session's time range.
 RANGE_KINDS = ("Periodic", "Row", "Synchro", "CAN", "Coverage")
 
+INFO_COLUMNS = ("session_type", "version", "utc_offset")
+
 
 def session_catalog(log: DataFrame) -> DataFrame:
     """One row per session: source, identifier, whether complete, first and last offset.
 
-    An empty identifier is an update only in a SessionInfo packet, where it means untitled.
+    An empty identifier is an update only in a SessionInfo packet, where it means untitled. Of
+    ``INFO_COLUMNS``, those the log has are included with their latest value.
     """
     is_update = (F.col("type") == "SessionInfo") | (F.col("identifier") != "")
+    info = [
+        F.max_by(c, F.when(F.col(c).isNotNull(), F.col("pkt_offset"))).alias(c)
+        for c in INFO_COLUMNS
+        if c in log.columns
+    ]
     return log.groupBy("session_key").agg(
         F.min_by("data_source", "pkt_offset").alias("data_source"),
         title_or_untitled(
@@ -31,6 +39,7 @@ def session_catalog(log: DataFrame) -> DataFrame:
         F.bool_or(F.col("type") == "EndOfSession").alias("is_complete"),
         F.min("pkt_offset").alias("first_offset"),
         F.max("pkt_offset").alias("last_offset"),
+        *info,
     )
 
 

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from stintlog.functions.times import day_time
-from stintlog.operators import laps, packets as pk, race, samples as sm
+from stintlog.operators import laps, packets as pk, race, samples as sm, sessions
 from stintlog.operators.formats import check_arity, resolve_parameter_list
 
 SAMPLE_COLUMNS = [
@@ -59,8 +59,61 @@ def sample_report(samples: DataFrame) -> DataFrame:
     )
 
 
+def time_records_of(packets: DataFrame) -> DataFrame:
+    """Times that stretch a session's range: ``session_key, kind, day_ns``.
+
+    A fixed-rate or variable-rate block counts with its start, a row block with its rows.
+    """
+    envelope = packets.select("session_key", "type", "content")
+
+    def times(packet_type: str, kind: str, *at: Column) -> DataFrame:
+        return pk.decode_content(envelope, packet_type).select(
+            "session_key", F.lit(kind).alias("kind"), F.explode(F.array(*at)).alias("ts_ns")
+        )
+
+    parts = [
+        times("PeriodicData", "Periodic", F.col("start_ns")),
+        times("RowData", "Row", F.array_min("timestamps"), F.array_max("timestamps")),
+        times("SynchroData", "Synchro", F.col("start_ns")),
+        times("RawCANData", "CAN", F.col("ts_ns")),
+        times("CoverageCursorInfo", "Coverage", F.col("ts_ns")),
+    ]
+    return reduce(DataFrame.unionByName, parts).select(
+        "session_key", "kind", day_time("ts_ns").alias("day_ns")
+    )
+
+
+def session_log_of(packets: DataFrame) -> DataFrame:
+    """The session packets of a log in one shape; see ``operators.sessions``."""
+    envelope = packets.select("pkt_offset", "data_source", "session_key", "type", "content")
+    opened, updated, ended = (
+        pk.decode_content(envelope, kind) for kind in ("NewSession", "SessionInfo", "EndOfSession")
+    )
+    opened = opened.withColumn(
+        "utc_offset", F.make_dt_interval(secs=F.col("utc_offset_seconds").cast("decimal(18,6)"))
+    )
+    rows = opened.unionByName(updated, allowMissingColumns=True).unionByName(
+        ended, allowMissingColumns=True
+    )
+    return rows.select(
+        "pkt_offset",
+        "type",
+        "session_key",
+        F.coalesce("content_data_source", "data_source").alias("data_source"),
+        F.coalesce("identifier", F.lit("")).alias("identifier"),
+        F.col("content_type").alias("session_type"),
+        "version",
+        "utc_offset",
+        "details",
+        "assoc_keys",
+    )
+
+
 def record_session_tables(packets: DataFrame, formats: DataFrame) -> dict[str, DataFrame]:
-    """The session tables of a log, by name; rejects included."""
+    """The tables of a log, or of a micro-batch of it, by name; rejects included.
+
+    Rows of different batches only ever add up; ``close_sessions`` folds them.
+    """
     envelope = packets.select("pkt_offset", "session_key", "type", "content")
 
     def decoded(kind: str) -> DataFrame:
@@ -69,8 +122,31 @@ def record_session_tables(packets: DataFrame, formats: DataFrame) -> dict[str, D
     return {
         "samples": samples_of(packets, formats),
         "lap_triggers": lap_triggers_of(packets),
+        "markers": race.point_markers(
+            pk.decode_content(envelope, "Marker").drop("type").withColumnRenamed("content_type", "type")
+        ),
+        "events": decoded("Event"),
         "errors": decoded("Error"),
         "can_frames": sm.can_frames(decoded("RawCANData")),
-        "coverage": race.coverage_cursor(decoded("CoverageCursorInfo")),
+        "coverage": decoded("CoverageCursorInfo"),
+        "metadata": race.metadata_items(decoded("Metadata")),
+        "ranges": sessions.session_time_range(time_records_of(packets)),
         "rejects": pk.reject_packets(envelope),
     }
+
+
+def close_sessions(
+    catalog: DataFrame, ranges: DataFrame, lap_triggers: DataFrame
+) -> tuple[DataFrame, DataFrame]:
+    """(closing records, laps) of recorded sessions, from their stored tables.
+
+    A session without laps gets the default lap at its start.
+    """
+    folded = ranges.groupBy("session_key").agg(
+        F.min("start_ns").alias("start_ns"), F.max("end_ns").alias("end_ns")
+    )
+    named = laps_of(lap_triggers, folded).select(
+        "session_key", "day_ns", "lap_number", "lap_name", "counts"
+    )
+    summary = sessions.session_summary(catalog, folded, named)
+    return summary, named.unionByName(laps.default_lap(folded, lap_triggers))

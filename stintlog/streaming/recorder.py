@@ -19,7 +19,7 @@ from stintlog.schemas import BOOL, INT, LONG, TEXT, record
 from stintlog.sources.packet_log import read_packets
 from stintlog.sources.session_tables import write_batch
 
-# A hot (session, parameter) is spread over this many keys of a stream join.
+# Keys of a stream join that one (session, parameter) is spread over.
 SALTS = 16
 
 
@@ -67,10 +67,21 @@ def stream_samples(
 
 
 def replay_history(
-    spark: SparkSession, log: str, session_key: str, formats: DataFrame, path: str, checkpoint: str
+    spark: SparkSession,
+    log: str,
+    session_key: str,
+    formats: DataFrame,
+    path: str,
+    checkpoint: str,
+    files_per_trigger: int = 1000,
 ) -> None:
-    """Record a complete session once: all its tables, then stop."""
-    packets = read_packets(spark, log, ReadSpec(session_key=session_key), streaming=True)
+    """Record a complete session once, all its tables, in batches of so many files; then stop.
+
+    ``plans.recording.close_sessions`` makes the closing records from the tables.
+    """
+    packets = read_packets(
+        spark, log, ReadSpec(session_key=session_key), streaming=True, files_per_trigger=files_per_trigger
+    )
     query = stream_tables(
         packets, lambda batch: record_session_tables(batch, formats), path, checkpoint
     )
@@ -78,7 +89,11 @@ def replay_history(
 
 
 def hold_and_replay(
-    samples: DataFrame, definitions: DataFrame, ttl: str | None = None, how: str = "inner"
+    samples: DataFrame,
+    definitions: DataFrame,
+    ttl: str | None = None,
+    how: str = "inner",
+    salts: int = SALTS,
 ) -> DataFrame:
     """Samples whose parameter is defined; in a stream, a sample waits for its definition.
 
@@ -86,11 +101,11 @@ def hold_and_replay(
     ``session_key, parameter, defined_ns``, repeats allowed. Streams hold each side in join
     state. With ``ttl`` a sample waits no longer than that in event time, and ``how="left"``
     returns it with ``defined`` null once given up. Both sides are salted, so that samples of
-    one busy parameter spread over all tasks.
+    one busy parameter spread over ``salts`` keys; definitions are repeated for each.
     """
     keys = ["session_key", "parameter"]
     known = definitions.select(*keys, to_timestamp("defined_ns").alias("defined_at"))
-    held = samples.withColumn("salt", F.pmod("pkt_offset", F.lit(SALTS)).cast("int"))
+    held = samples.withColumn("salt", F.pmod("pkt_offset", F.lit(salts)).cast("int"))
     if ttl:
         known = known.withWatermark("defined_at", ttl)
         held = held.withColumn("taken_at", to_timestamp("ts_ns")).withWatermark("taken_at", ttl)
@@ -100,7 +115,7 @@ def hold_and_replay(
         else known.groupBy(*keys).agg(F.min("defined_at").alias("defined_at"))
     )
     known = (
-        known.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        known.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
         .withColumn("defined", F.lit(True))
     )
     s, d = held.alias("s"), known.alias("d")

@@ -125,3 +125,25 @@ def test_formats_and_definitions_per_owner(spark):
     known = spark.createDataFrame([("S", "p:A")], "session_key string, identifier string")
     missing = df.missing_parameters(seen, known, by=["session_key"])
     assert [tuple(r) for r in missing.collect()] == [("T", "p:A")]
+
+
+def test_known_channels_keep_their_ids(spark):
+    schema = "session_key string, kind string, parameter string, interval_ns bigint"
+    first = df.assign_channels(spark.createDataFrame([("A", "Row", "p", 0), ("A", "Row", "q", 0)], schema))
+    rows = [("A", "Row", "q", 0), ("A", "Row", "r", 0), ("A", "Row", "s", 0), ("B", "Row", "q", 0)]
+    later = df.assign_channels(spark.createDataFrame(rows, schema), known=first)
+    before = {r.parameter: r.channel_id for r in first.collect()}
+    after = {(r.session_key, r.parameter): r.channel_id for r in later.collect()}
+    assert all(after["A", p] == i for p, i in before.items()) and after["B", "q"] == 1
+    assert sorted(i for (s, _), i in after.items() if s == "A") == [1, 2, 3, 4]
+
+
+def test_last_definition_wins(spark):
+    rows = spark.createDataFrame([("c", 1, "p", 5.0), ("d", 3, "p", 7.0), ("d", 2, "q", 1.0)], "config_id string, pkt_offset bigint, identifier string, max_value double")
+    assert sorted((r.identifier, r.max_value) for r in df.current_definitions(rows).collect()) == [("p", 7.0), ("q", 1.0)]
+
+
+def test_repeated_format_announcements(spark):
+    formats = spark.createDataFrame([(3, "parameter", ["a"], None)] * 2, "format_id bigint, kind string, params array<string>, event_identifier string")
+    blocks = spark.createDataFrame([(0, 3, None)], "pkt_offset bigint, format_id bigint, params array<string>")
+    assert fm.resolve_parameter_list(blocks, formats).count() == 1

@@ -111,6 +111,25 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recorder.idle_bursts(packets, _GAP)
 
 
+@query(
+    "session_close_times",
+    f"""
+    with stops as (select session_key, min(ts_ns) as stop_ns from {sql("packets")}
+      where pkt_offset % 50 = 0 group by session_key)
+    select b.session_key, s.stop_ns, min(b.last_ns) + {_GAP} as close_ns
+    from ({BURSTS_SQL}) b join stops s on s.session_key = b.session_key and b.last_ns >= s.stop_ns
+    group by b.session_key, s.stop_ns
+    """,
+)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packets = frame(spark, sf_dir, "packets").selectExpr(
+        "session_key",
+        "if(pkt_offset % 50 = 0, 'EndOfSession', type) as type",
+        "ts_ns as submit_ns",
+    )
+    return recorder.session_close_times(packets, _GAP)
+
+
 @query(
     "replay_history",
     f"select pkt_offset, parameter, ts_ns, value, status from ({SAMPLES_SQL}) where session_key = 'S7'",

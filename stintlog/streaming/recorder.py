@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types a
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from stintlog.functions.times import int_div, to_timestamp
+from stintlog.functions.times import NS_PER_SECOND, int_div, to_timestamp
 from stintlog.operators.laps import (
     GUARD_NS, IN_LAP, MAIN_TRIGGER, OUT_LAP, PIT_LANE, PIT_TRIGGER,
 )
@@ -22,6 +22,9 @@ from stintlog.sources.session_tables import write_batch
 # Keys of a stream join that one (session, parameter) is spread over.
 SALTS = 16
 
+# A stopped session closes after this long without a packet.
+IDLE_NS = 10 * NS_PER_SECOND
+
 
 def _trigger(every: str | None) -> dict:
     """Drain the source and stop, or run a micro-batch every so often."""
@@ -94,16 +97,18 @@ def hold_and_replay(
     ttl: str | None = None,
     how: str = "inner",
     salts: int = SALTS,
+    name: str = "parameter",
 ) -> DataFrame:
     """Samples whose parameter is defined; in a stream, a sample waits for its definition.
 
     ``samples`` has ``session_key, parameter, pkt_offset, ts_ns``; ``definitions`` has
-    ``session_key, parameter, defined_ns``, repeats allowed. Streams hold each side in join
+    ``session_key, parameter, defined_ns``, repeats allowed. For events or errors, ``name`` is
+    the column that must be defined. Streams hold each side in join
     state. With ``ttl`` a sample waits no longer than that in event time, and ``how="left"``
     returns it with ``defined`` null once given up. Both sides are salted, so that samples of
     one busy parameter spread over ``salts`` keys; definitions are repeated for each.
     """
-    keys = ["session_key", "parameter"]
+    keys = ["session_key", name]
     known = definitions.select(*keys, to_timestamp("defined_ns").alias("defined_at"))
     held = samples.withColumn("salt", F.pmod("pkt_offset", F.lit(salts)).cast("int"))
     if ttl:
@@ -210,7 +215,11 @@ def session_idle_close(packets: DataFrame, gap: str = "10 seconds") -> DataFrame
     return (
         packets.withWatermark("submit_time", gap)
         .groupBy("session_key", F.session_window("submit_time", gap).alias("burst"))
-        .agg(F.count(F.lit(1)).alias("n_packets"), F.min("submit_ns").alias("first_ns"), F.max("submit_ns").alias("last_ns"))
+        .agg(
+            F.count(F.lit(1)).alias("n_packets"),
+            F.min("submit_ns").alias("first_ns"),
+            F.max("submit_ns").alias("last_ns"),
+        )
         .select("session_key", "first_ns", "last_ns", "n_packets")
     )
 
@@ -243,3 +252,23 @@ def idle_bursts(packets: DataFrame, gap_ns: int) -> DataFrame:
     )
     last = Window.partitionBy("session_key").orderBy("_burst")
     return bursts.withColumn("is_last", F.lead("_burst").over(last).isNull()).drop("_burst")
+
+
+def session_close_times(packets: DataFrame, gap_ns: int = IDLE_NS) -> DataFrame:
+    """When each stopped session closes: the first time after its stop that it is idle.
+
+    Packets (with ``type`` and ``submit_ns``) that still arrive after the stop keep the session
+    open until nothing came for ``gap_ns``.
+    """
+    stops = (
+        packets.where(F.col("type") == "EndOfSession")
+        .groupBy("session_key")
+        .agg(F.min("submit_ns").alias("stop_ns"))
+    )
+    return (
+        idle_bursts(packets, gap_ns)
+        .join(stops, "session_key")
+        .where(F.col("last_ns") >= F.col("stop_ns"))
+        .groupBy("session_key", "stop_ns")
+        .agg((F.min("last_ns") + gap_ns).alias("close_ns"))
+    )

@@ -10,7 +10,7 @@ from stintlog.session import configure
 def spark(tmp_path_factory):
     session = (
         SparkSession.builder.master("local[8]")
-        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.shuffle.partitions", "2")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))

@@ -1,6 +1,10 @@
 from __future__ import annotations
 
+import pytest
+
+from stintlog import session
 from stintlog.operators import metrics, sessions as ss
+from stintlog.streaming import recorder
 
 LOG = "pkt_offset bigint, type string, session_key string, data_source string, identifier string, assoc_key string"
 
@@ -69,3 +73,32 @@ def test_throughput_does_not_wrap(spark):
     rows = metrics.run_throughput(runs).orderBy("message_size", ascending=False).collect()
     assert rows[0].floor_mib == 6_553_500_000_000 // 2**20 and rows[0].floor_mib_per_s == rows[0].floor_mib / 2
     assert rows[1].mib_per_s is None
+
+
+def test_close_after_stop_and_silence(spark):
+    second = 10**9
+    packets = spark.createDataFrame(
+        [("A", "x", 0), ("A", "EndOfSession", 15), ("A", "x", 20), ("A", "x", 30), ("A", "x", 41), ("B", "x", 3)],
+        "session_key string, type string, at bigint",
+    ).selectExpr("session_key", "type", f"at * {second} as submit_ns")
+    closed = recorder.session_close_times(packets).collect()
+    assert [(r.session_key, r.stop_ns // second, r.close_ns // second) for r in closed] == [("A", 15, 40)]
+
+
+def test_work_folder():
+    class Conf:
+        def __init__(self, base):
+            self.base = base
+
+        def get(self, key, default):
+            return self.base
+
+    class Session:
+        def __init__(self, master, base=None):
+            self.conf, self.sparkContext = Conf(base), type("Context", (), {"master": master})
+
+    assert session.shared_dir(Session("spark://x", "s3://bucket/"), "p").startswith("s3://bucket/p-")
+    with pytest.raises(ValueError):
+        session.shared_dir(Session("spark://x"), "p")
+    first, second = (session.shared_dir(Session("local[2]"), "p") for _ in range(2))
+    assert first != second and first.rsplit("/", 1)[0] == second.rsplit("/", 1)[0]

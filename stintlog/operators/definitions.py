@@ -171,7 +171,11 @@ def error_definitions(errors: DataFrame) -> DataFrame:
     details = ["error_identifier", "application"]
     if "description" in errors.columns:
         details.append("description")
-    first = errors.groupBy("session_key", "name").agg(
+    # Distinct details first: a repeated error is combined before the shuffle, by hash.
+    distinct = errors.groupBy("session_key", "name", *details).agg(
+        F.min("pkt_offset").alias("pkt_offset")
+    )
+    first = distinct.groupBy("session_key", "name").agg(
         F.min_by(F.struct(*details), "pkt_offset").alias("d")
     )
     return first.select(

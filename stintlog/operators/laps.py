@@ -60,7 +60,12 @@ def lap_guard(
     in_chunk = Window.partitionBy(*keys)
     maxima = (
         max_before(
-            laps, ["session_key"], int_div("pkt_offset", bucket_span), ["pkt_offset"], time_col, "_prev"
+            laps,
+            ["session_key"],
+            int_div("pkt_offset", bucket_span),
+            ["pkt_offset", time_col],
+            time_col,
+            "_prev",
         )
         .where(F.col("_prev").isNull() | (time > F.col("_prev")))
         .withColumn("_sure", F.col("_prev").isNull() | (time - F.col("_prev") >= guard_ns))

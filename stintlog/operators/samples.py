@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from stintlog.functions.lists import gcd_of, prefix_sums, sample_kind, widen_list
+from stintlog.functions.lists import gcd_of, in_units, prefix_sums, sample_kind, widen_list
 from stintlog.functions.times import as_column, day_time
 
 
@@ -107,11 +107,7 @@ def synchro_delta_scale(packets: DataFrame) -> DataFrame:
     Both are null for a block whose intervals are all zero or missing.
     """
     return packets.withColumn("delta_scale", gcd_of("intervals")).withColumn(
-        "scaled",
-        F.when(
-            F.col("delta_scale").isNotNull(),
-            F.transform("intervals", lambda v: (v / F.col("delta_scale")).cast("bigint")),
-        ),
+        "scaled", in_units("intervals", "delta_scale")
     )
 
 

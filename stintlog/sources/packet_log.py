@@ -70,6 +70,17 @@ def kafka_options(
     return options
 
 
+def essentials_options(spec: ReadSpec, servers: str) -> dict[str, str]:
+    """Options of Spark's Kafka source for the essentials topic of a spec's data source."""
+    only = ReadSpec(
+        spec.data_source,
+        streams=(ESSENTIALS,),
+        offsets=(spec.essentials_offset,),
+        exclude_main_stream=True,
+    )
+    return kafka_options(only, servers, "topic")
+
+
 # The value of a Kafka record: the packet's envelope with its content.
 KAFKA_VALUE = record(type=TEXT, session_key=TEXT, is_essential=BOOL, content=TEXT)
 

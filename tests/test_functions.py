@@ -79,6 +79,14 @@ def test_delta_scale(spark):
     assert (row.delta_scale, row.scaled) == (5, [2, 3, 5])
 
 
+@pytest.mark.parametrize("count", [0, 1, 31, 32, 33, 64, 100, 255])
+def test_prefix_sums_of_any_length(spark, count):
+    steps = [(i * 37) % 11 for i in range(count)]
+    column = F.from_json(F.lit(str(steps)), "array<bigint>")
+    expected = [100 + sum(steps[:i]) for i in range(count + 1)]
+    assert value(spark, lists.prefix_sums(F.lit(100), column)) == expected
+
+
 def test_prefix_sums(spark):
     steps = F.array(F.lit(5), F.lit(1), F.lit(4)).cast("array<bigint>")
     assert value(spark, lists.prefix_sums(F.lit(100), steps)) == [100, 105, 106, 110]

@@ -2,7 +2,10 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
+import pandas as pd
 import pytest
+from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from stintlog.operators import laps as lp
@@ -78,6 +81,27 @@ def test_guard_equals_brute_force(spark):
         assert kept(spark, rows, chunk_guards=chunk_guards, bucket_span=bucket_span) == expected
 
 
+@settings(max_examples=300, deadline=None)
+@given(
+    st.lists(st.integers(0, 400), min_size=1, max_size=80, unique=True),
+    st.integers(1, 30),
+    st.integers(1, 6),
+)
+def test_steps_entries_and_walk(times, guard, chunk_guards):
+    """The three Python steps alone, on every chunk, keep what a sequential guard keeps."""
+    laps = pd.DataFrame({"session_key": "A", "_time": np.array(sorted(times), dtype="int64")})
+    laps["_chunk"] = laps["_time"] // (guard * chunk_guards)
+    steps = lp._chunk_steps(guard, chunk_guards)(laps)
+    entries = lp._chunk_entries(guard)(steps)
+    kept_rows = lp._walk(guard, "_time")(laps.merge(entries, on=["session_key", "_chunk"]))
+    assert kept_rows["_time"].tolist() == brute_guard(sorted(times), guard)
+
+
+def test_no_laps(spark):
+    empty = frame(spark, [("A", 1, 0, "L")]).where("false")
+    assert lp.classify_laps(lp.lap_guard(empty)).isEmpty()
+
+
 def named(spark, triggers):
     """Names and counting flags for (trigger, label), one lap a minute."""
     rows = [("A", 60 * i, trigger, label) for i, (trigger, label) in enumerate(triggers)]
@@ -139,8 +163,6 @@ def test_classify_equals_sequential_rules(spark):
 
 def test_stream_fold_equals_sequential_rules():
     """The state function names laps as the rules do, however the laps are cut into batches."""
-    import pandas as pd
-
     class State:
         exists, get = False, None
 

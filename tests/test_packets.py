@@ -60,6 +60,8 @@ def test_kafka_options():
     by_partition = log.kafka_options(spec, "b:9092", "partition", {"s1": 1, "s2": 2})
     assert json.loads(by_partition["assign"]) == {"D": [0, 1, 2]}
     assert json.loads(by_partition["startingOffsets"]) == {"D": {"0": 0, "1": 5, "2": -1}}
+    essentials = log.essentials_options(pk.ReadSpec("D", essentials_offset=8), "b:9092")
+    assert json.loads(essentials["startingOffsets"]) == {"D.essentials": {"0": 8}}
     with pytest.raises(ValueError):
         log.kafka_options(pk.ReadSpec(), "b:9092", "topic")
 

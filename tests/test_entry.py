@@ -6,10 +6,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from checks import registry
 from checks.compare import connect, difference
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = registry.QUERIES, registry.ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -17,6 +18,11 @@ def con() -> duckdb.DuckDBPyConnection:
     return connect(SF)
 
 
+def test_entry_has_every_query():
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(ORACLES) <= set(entry.oracle_sql())
+
+
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
 

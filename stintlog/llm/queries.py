@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stintlog.llm import exact_dedup, sharding
+from stintlog.llm import bpe, exact_dedup, packing, sharding
 from stintlog.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +21,16 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"), keep="largest")
 
 
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    return bpe.round_trip(_table(spark, sf_dir, "documents"), vocabulary, public_tokenizers.PATTERN)
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack_documents(_table(spark, sf_dir, "documents"), vocabulary, capacity=4096, end_id=2)
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shuffle_to_shards(_table(spark, sf_dir, "documents"), shards=24)
 
@@ -37,6 +48,8 @@ from rows window same as (partition by t)
 
 QUERIES: dict[str, Query] = {
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_bpe": op5_bpe,
+    "op6_packing": op6_packing,
     "op8_sharding": op8_sharding,
 }
 ORACLES: dict[str, str] = {"op4_exact_dedup": OP4_SQL}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stintlog.llm import bpe, exact_dedup, packing, sharding
+from stintlog.llm import bpe, exact_dedup, minhash, packing, sharding
 from stintlog.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,10 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shuffle_to_shards(_table(spark, sf_dir, "documents"), shards=24)
 
 
+def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 OP4_SQL = """
 with rows as (
     select doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t
@@ -51,5 +55,6 @@ QUERIES: dict[str, Query] = {
     "op5_bpe": op5_bpe,
     "op6_packing": op6_packing,
     "op8_sharding": op8_sharding,
+    "op9_minhash": op9_minhash,
 }
 ORACLES: dict[str, str] = {"op4_exact_dedup": OP4_SQL}

@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from stintlog.llm import bpe, exact_dedup, minhash, packing, sharding
+from stintlog.llm import bpe, exact_dedup, minhash, packing, sharding, suffix_dedup
 from stintlog.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +40,11 @@ def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 OP4_SQL = """
 with rows as (
     select doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t
@@ -56,5 +62,6 @@ QUERIES: dict[str, Query] = {
     "op6_packing": op6_packing,
     "op8_sharding": op8_sharding,
     "op9_minhash": op9_minhash,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 ORACLES: dict[str, str] = {"op4_exact_dedup": OP4_SQL}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stintlog.llm import bpe, exact_dedup, minhash, neighbours, packing, sharding, suffix_dedup
+from stintlog.llm import bpe, exact_dedup, minhash, neighbours, packing, sharding, suffix_dedup, toxicity
 from stintlog.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.detect(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(_table(spark, sf_dir, "embeddings"), most=20, every=20)
 
@@ -61,6 +65,7 @@ from rows window same as (partition by t)
 """
 
 QUERIES: dict[str, Query] = {
+    "op1_toxicity": op1_toxicity,
     "op3_neighbours": op3_neighbours,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_bpe": op5_bpe,

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stintlog.llm import bpe, exact_dedup, minhash, neighbours, packing, sharding, suffix_dedup, toxicity
+from stintlog.llm import bpe, exact_dedup, html_text, minhash, neighbours, packing, sharding, suffix_dedup, toxicity
 from stintlog.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,10 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), vocabulary, capacity=4096, end_id=2)
 
 
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_text(_table(spark, sf_dir, "pages"), html_text.trained())
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shuffle_to_shards(_table(spark, sf_dir, "documents"), shards=24)
 
@@ -70,6 +74,7 @@ QUERIES: dict[str, Query] = {
     "op4_exact_dedup": op4_exact_dedup,
     "op5_bpe": op5_bpe,
     "op6_packing": op6_packing,
+    "op7_html_text": op7_html_text,
     "op8_sharding": op8_sharding,
     "op9_minhash": op9_minhash,
     "op10_suffix_dedup": op10_suffix_dedup,

@@ -160,7 +160,7 @@ def _linked(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id, kept.
+    """One row per row of ``docs``: doc_id, n_shingles, component_id, kept, text_key (a hash of the text).
 
     Rows with equal sets form a class, so copies cost one sketch from there on. In every band the
     classes of a key are compared with the key's smallest class, which settles most groups. What
@@ -240,5 +240,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     of_class = of_class.join(lowest, "label").select("set_key", "lowest")
     component = F.coalesce("lowest", "doc_id")
     return sketched.join(of_class, "set_key", "left").select(
-        "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
+        "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "text_key"
     )
+
+
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that are kept, one document of each component, with all their columns."""
+    kept = near_duplicates(docs, id_col, text_col).filter("kept").select("doc_id", "text_key").distinct()
+    kept = kept.toDF("__kept_id", "__kept_key")
+    marked = docs.withColumn("__key", F.xxhash64(F.coalesce(docs[text_col].cast("string"), F.lit(""))))
+    same = docs[id_col].cast("long").eqNullSafe(kept["__kept_id"]) & (marked["__key"] == kept["__kept_key"])
+    return marked.join(kept, same, "left_semi").select(*docs.columns)

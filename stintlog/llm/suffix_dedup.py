@@ -353,27 +353,33 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return local.union(whole).union(between)
 
 
-_CUT = "doc_id long, text_key long, n_bytes long, n_removed long, n_spans long, kept binary"
-
-
-def _cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for frame in frames:
-        rows = []
-        for doc_id, key, text, found in zip(frame["doc_id"], frame["text_key"], frame["text"], frame["spans"]):
-            data = text.encode("utf-8", "surrogatepass")
-            spans = merged([(r["s"], r["s"] + r["n"]) for r in found]) if found is not None else []
-            kept, at = [], 0
-            for s, e in spans:
-                kept.append(data[at:s])
-                at = e
-            kept.append(data[at:])
-            rows.append((doc_id, key, len(data), sum(e - s for s, e in spans), len(spans), b"".join(kept)))
-        out = pd.DataFrame(rows, columns=["doc_id", "text_key", "n_bytes", "n_removed", "n_spans", "kept"])
-        yield out.astype({"doc_id": "Int64"})
+@F.pandas_udf("n_bytes long, n_removed long, n_spans long, kept binary")
+def _cut(texts: pd.Series, starts: pd.Series, sizes: pd.Series) -> pd.DataFrame:
+    rows = []
+    for text, at, n in zip(texts, starts, sizes):
+        data = text.encode("utf-8", "surrogatepass")
+        spans = merged([*zip(at.tolist(), (at + n).tolist())]) if at is not None else []
+        ends = [0, *(e for _, e in spans)]
+        kept = b"".join([data[e:s] for e, s in zip(ends, [*(s for s, _ in spans), len(data)])])
+        rows.append((len(data), len(data) - len(kept), len(spans), kept))
+    return pd.DataFrame(rows, columns=["n_bytes", "n_removed", "n_spans", "kept"])
+
+
+def _with_cut(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``docs`` with a column __cut: n_bytes, n_removed, n_spans, kept."""
+    spans = repeated_spans(docs, id_col, text_col)
+    # A set, so that repeated rows do not add up; it is bounded by the bytes of one text.
+    spans = spans.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("s", "n")).alias("spans"))
+    spans = spans.select(F.col("doc_id").alias("__of_doc"), F.col("text_key").alias("__of_key"), F.col("spans").alias("__spans"))
+    text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
+    marked = docs.withColumn("__text", text).withColumn("__key", F.xxhash64("__text"))
+    same = docs[id_col].cast("long").eqNullSafe(spans["__of_doc"]) & (marked["__key"] == spans["__of_key"])
+    both = marked.join(spans, same, "left")
+    return both.withColumn("__cut", _cut("__text", "__spans.s", "__spans.n"))
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: doc_id, text_key, n_bytes, n_removed, n_spans, kept (the bytes that stay).
+    """One row per row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept (the bytes that stay).
 
     A byte goes if a string of 200 bytes that covers it starts anywhere else as well, in the same
     text or another, repeats that overlap included; strings are judged on the input. n_spans
@@ -381,11 +387,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     Rows that repeat a doc_id and a text are repeats of each other. Null ids are rows like others.
     An empty table gives no rows.
     """
-    rows = _keyed(docs, id_col, text_col)
-    spans = repeated_spans(docs, id_col, text_col)
-    # A set, so that repeated rows do not add up; it is bounded by the bytes of one text.
-    spans = spans.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("s", "n")).alias("spans"))
-    spans = spans.withColumnsRenamed({"doc_id": "of_doc", "text_key": "of_key"})
-    same = rows["doc_id"].eqNullSafe(spans["of_doc"]) & (rows["text_key"] == spans["of_key"])
-    both = rows.join(spans, same, "left").select("doc_id", "text_key", "text", "spans")
-    return both.mapInPandas(_cut, _CUT)
+    rows = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
+    return _with_cut(rows, "doc_id", "text").select(F.col("doc_id").cast("long"), "__cut.*")
+
+
+def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with all columns and what stays of the text; a character that is cut in two becomes U+FFFD."""
+    kept = F.make_valid_utf8(F.col("__cut.kept").cast("string"))
+    return _with_cut(docs, id_col, text_col).withColumn(text_col, kept).select(*docs.columns)

@@ -12,12 +12,12 @@ from __future__ import annotations
 import hashlib
 import re
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stintlog.llm.common import documents, per_worker
@@ -262,24 +262,38 @@ def fold(doc_id, folds: int = 5):
     return F.crc32(doc_id.cast("string").cast("binary")) % folds
 
 
+def scorer_of(spark: SparkSession, model: ToxicityModel) -> Callable[[Column], Column]:
+    """A function from a text column to its score, a double from 0 to 1."""
+    sent = spark.sparkContext.broadcast(model)
+    key = ("toxicity", model.key())
+
+    @F.pandas_udf("double")
+    def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        scorer = per_worker(key, lambda: Scorer(sent.value))
+        for batch in texts:
+            rows = batch.tolist()
+            margin = [scorer.margins(rows[i : i + 400]) for i in range(0, len(rows), 400)]
+            yield pd.Series(scorer.model.probability(np.concatenate(margin or [np.empty(0)])))
+
+    return score
+
+
 def score_documents(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, score and predicted of every row of ``docs``, from the whole text alone.
 
     A null or empty text, or one without words, gets the score of a text without insults. Null and
     repeated ids pass through; an empty table gives no rows.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(model)
-    key = ("toxicity", model.key())
+    score = scorer_of(docs.sparkSession, model)
+    scored = documents(docs, id_col, text_col).select("doc_id", score(F.col("text")).alias("score"))
+    return scored.select("doc_id", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        scorer = per_worker(key, lambda: Scorer(sent.value))
-        for frame in frames:
-            texts = frame["text"].tolist()
-            margin = np.concatenate([scorer.margins(texts[i : i + 400]) for i in range(0, len(texts), 400)] or [np.empty(0)])
-            score = scorer.model.probability(margin)
-            yield pd.DataFrame({"doc_id": frame["doc_id"], "score": score, "predicted": (score >= 0.5).astype("int32")})
 
-    return documents(docs, id_col, text_col).mapInPandas(run, "doc_id long, score double, predicted int")
+def drop_toxic(docs: DataFrame, model: ToxicityModel, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` with a score under a half, with all their columns."""
+    score = scorer_of(docs.sparkSession, model)
+    text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
+    return docs.withColumn("__score", score(text)).filter(F.col("__score") < 0.5).select(*docs.columns)
 
 
 def detect(docs: DataFrame, labels: DataFrame) -> DataFrame:

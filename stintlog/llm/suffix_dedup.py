@@ -17,6 +17,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stintlog.llm.common import documents, written
 
@@ -353,7 +354,12 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return local.union(whole).union(between)
 
 
-@F.pandas_udf("n_bytes long, n_removed long, n_spans long, kept binary")
+_CUT = T.StructType(
+    [T.StructField(name, T.LongType()) for name in ("n_bytes", "n_removed", "n_spans")] + [T.StructField("kept", T.BinaryType())]
+)
+
+
+@F.pandas_udf(_CUT)
 def _cut(texts: pd.Series, starts: pd.Series, sizes: pd.Series) -> pd.DataFrame:
     rows = []
     for text, at, n in zip(texts, starts, sizes):

@@ -31,8 +31,9 @@ MANTISSA = 10
 # A pair at the limit has an estimate under this with a probability of about 1e-6.
 LEAST_ESTIMATE = 0.55
 
-# Classes of a band key that are compared in one go; larger buckets are split into pairs of blocks.
-BLOCK = 1_024
+# Classes around a centre that are compared in one go; more are split into pairs of blocks.
+BLOCK = 512
+_CELL = ["centre", "block_a", "block_b"]
 
 _rng = np.random.Generator(np.random.PCG64(9))
 PLACES = _rng.integers(1 << 63, size=SHINGLE + 1, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -111,48 +112,69 @@ def _estimated(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield frame.loc[_may_link((a == b).sum(axis=1), frame["n_a"].to_numpy(), frame["n_b"].to_numpy()), ["a", "b"]]
 
 
-def _across(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Pairs with different labels within each run of equal (band_key, block_a, block_b)."""
-
-    def pairs(cell: pd.DataFrame) -> pd.DataFrame:
-        regs = np.frombuffer(b"".join(cell["sketch"]), dtype=np.uint16).reshape(-1, REGISTERS)
-        ids, labels, sizes = (cell[c].to_numpy() for c in ("class_id", "label", "n"))
-        block, first = cell["block"].to_numpy(), int(cell["block_a"].iloc[0])
-        inside = first == int(cell["block_b"].iloc[0])
-        out = []
-        for i in np.flatnonzero(block == first):
-            others = (np.arange(len(ids)) > i) if inside else (block != first)
-            others = np.flatnonzero(others & (labels != labels[i]))
-            if len(others):
-                equal = (regs[others] == regs[i]).sum(axis=1)
-                others = others[_may_link(equal, np.full(len(others), sizes[i]), sizes[others])]
-                out += [(min(ids[i], ids[j]), max(ids[i], ids[j])) for j in others]
-        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+def _links_in(cell: pd.DataFrame) -> pd.DataFrame:
+    """Links that join the labels of a cell, each confirmed on the full sets.
+
+    What a link joins is one label from there on, so a cell gives fewer links than it has labels,
+    however many of its pairs are near.
+    """
+    regs = np.frombuffer(b"".join(cell["sketch"]), dtype=np.uint16).reshape(-1, REGISTERS)
+    ids, labels, sizes = cell["class_id"].to_numpy(), cell["label"].to_numpy().copy(), cell["n"].to_numpy()
+    block, first = cell["block"].to_numpy(), int(cell["block_a"].iloc[0])
+    inside = first == int(cell["block_b"].iloc[0])
+    words, flat = np.unique(np.concatenate(cell["hashes"].tolist()), return_inverse=True)
+    starts = np.r_[0, np.cumsum(sizes)]
+    mark = np.zeros(len(words), dtype=np.int32)
+    out = []
+    for i in np.flatnonzero(block == first):
+        others = (np.arange(len(ids)) > i) if inside else (block != first)
+        others = np.flatnonzero(others & (labels != labels[i]))
+        if not len(others):
+            continue
+        equal = (regs[others] == regs[i]).sum(axis=1)
+        others = others[_may_link(equal, np.full(len(others), sizes[i]), sizes[others])]
+        own = flat[starts[i] : starts[i + 1]]
+        mark[own] = 1
+        for j in others.tolist():
+            if labels[j] != labels[i]:
+                both = int(mark[flat[starts[j] : starts[j + 1]]].sum())
+                if 100 * both >= PERCENT * (sizes[i] + sizes[j] - both):
+                    out.append((ids[i], ids[j]))
+                    labels[labels == labels[j]] = labels[i]
+        mark[own] = 0
+    return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
+
+def _across(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The links of each run of equal (centre, block_a, block_b); rows come sorted so."""
     held: list[pd.DataFrame] = []
     last = None
     for frame in frames:
-        for key, cell in frame.groupby(["band_key", "block_a", "block_b"], sort=False):
+        for key, cell in frame.groupby(_CELL, sort=False):
             if key != last and held:
-                yield pairs(pd.concat(held, ignore_index=True))
+                yield _links_in(pd.concat(held, ignore_index=True))
                 held = []
             last = key
             held.append(cell)
     if held:
-        yield pairs(pd.concat(held, ignore_index=True))
+        yield _links_in(pd.concat(held, ignore_index=True))
 
 
-def _linked(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (a, b) of classes whose full sets share enough; sets are made for these classes only."""
-    wanted = pairs.select(F.col("a").alias("class_id")).union(pairs.select("b")).distinct()
-    wanted = wanted.join(classes, "class_id").select("class_id", "set_key", "text_key", "rep")
+def _sets_of(docs: DataFrame, classes: DataFrame, ids: DataFrame) -> DataFrame:
+    """class_id, hashes: the full sets of some classes, made from the text of the row that stands for each."""
+    wanted = ids.distinct().join(classes, "class_id").select("class_id", "set_key", "text_key", "rep")
     texts = docs.join(wanted, (docs["text_key"] == wanted["text_key"]) & docs["doc_id"].eqNullSafe(wanted["rep"]))
-    sets = written(
+    return written(
         texts.select("class_id", "set_key", "text")
         .mapInPandas(_sets, "class_id long, hashes array<long>")
         .dropDuplicates(["class_id"]),
         "sets",
     )
+
+
+def _linked(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs (a, b) of classes whose full sets share enough."""
+    sets = _sets_of(docs, classes, pairs.select(F.col("a").alias("class_id")).union(pairs.select("b")))
     both = pairs.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
     shared = F.size(F.array_intersect("set_a", "set_b"))
     both = both.select("a", "b", (F.size("set_a") + F.size("set_b")).alias("sizes"), shared.alias("shared"))
@@ -163,9 +185,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """One row per row of ``docs``: doc_id, n_shingles, component_id, kept, text_key (a hash of the text).
 
     Rows with equal sets form a class, so copies cost one sketch from there on. In every band the
-    classes of a key are compared with the key's smallest class, which settles most groups. What
-    is still apart after that is compared within the key, in blocks of bounded size, however large
-    the bucket. Links are confirmed on full sets of 64-bit shingle hashes.
+    classes of a key are compared with the key's smallest class, its centre, which settles most
+    groups. What is still apart after that is compared among the classes of a centre, in blocks of
+    bounded size, however many they are; no pairs leave a block but links that join components.
+    Links are confirmed on full sets of 64-bit shingle hashes.
 
     component_id is the smallest doc_id reachable over links, and kept is doc_id = component_id.
     A null or empty text, or one without words, has no shingles and is linked with nothing. Rows
@@ -205,28 +228,30 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     labels = components(links)
     label = F.coalesce("label", "class_id").alias("label")
-    member = shared.join(labels.withColumnRenamed("node", "class_id"), "class_id", "left")
-    member = member.select("class_id", "band_key", "in_band", label)
-    mixed = member.groupBy("band_key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high")
-    blocks = F.ceil(F.col("in_band") / BLOCK).cast("int")
+    # Classes that share a key share its centre: a cell holds all that may be near each other.
+    member = shared.select("centre", "class_id").distinct()
+    member = member.join(labels.withColumnRenamed("node", "class_id"), "class_id", "left").select("centre", "class_id", label)
+    member = written(member, "cell-members")
+    mixed = (
+        member.groupBy("centre")
+        .agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("size"))
+        .filter("low <> high")
+        .select("centre", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
+    )
+    member = member.join(mixed, "centre")
     cells = (
-        member.join(mixed.select("band_key"), "band_key")
-        .withColumn("blocks", blocks)
-        .withColumn("block", F.pmod(F.xxhash64("class_id"), F.col("blocks")).cast("int"))
+        member.withColumn("block", F.pmod(F.xxhash64("class_id"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select(
-            "class_id", "band_key", "label", "block",
+            "class_id", "centre", "label", "block",
             F.least("block", "other").alias("block_a"), F.greatest("block", "other").alias("block_b"),
         )
         .join(parts, "class_id")
+        .join(_sets_of(rows, classes, member.select("class_id")), "class_id")
     )
-    cell = ["band_key", "block_a", "block_b"]
     across = written(
-        cells.repartition(*cell)
-        .sortWithinPartitions(*cell)
-        .mapInPandas(_across, "a long, b long")
-        .distinct(),
-        "pairs",
+        cells.repartition(*_CELL).sortWithinPartitions(*_CELL).mapInPandas(_across, "a long, b long"),
+        "links",
     )
     # Rows of one document are linked whatever their texts are.
     known = sketched.filter("set_key is not null and doc_id is not null").select("doc_id", "set_key").distinct()
@@ -234,7 +259,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     first = known.groupBy("doc_id").agg(F.min("class_id").alias("a"), F.max("class_id").alias("b")).filter("a <> b")
     same_doc = known.join(first, "doc_id").select("a", F.col("class_id").alias("b")).filter("a <> b")
 
-    labels = components(links.union(_linked(rows, classes, across)).union(same_doc))
+    labels = components(links.union(across).union(same_doc))
     of_class = classes.join(labels.withColumnRenamed("node", "class_id"), "class_id", "left").select("set_key", "rep", label)
     lowest = of_class.groupBy("label").agg(F.min("rep").alias("lowest"))
     of_class = of_class.join(lowest, "label").select("set_key", "lowest")

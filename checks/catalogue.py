@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from checks.blocks import DAY
-from checks.fixtures import frame, sql, table
+from checks.fixtures import frame, packet_log, sql, table
 from checks.racing import NAMED_SQL, classified
 from checks.registry import query
 from stintlog.functions.names import run_title
 from stintlog.operators import metrics, sessions as ss
+from stintlog.plans.recording import time_records_of
 
 LOG = sql("session_log")
 CATALOG_SQL = f"""
@@ -110,7 +111,8 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"select distinct session_key, assoc_key from {sql('info_updates')} where assoc_key is not null",
 )
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ss.associated_sessions(frame(spark, sf_dir, "session_log"))
+    log = frame(spark, sf_dir, "session_log").withColumn("assoc_keys", F.array("assoc_key"))
+    return ss.associated_sessions(log)
 
 
 @query(
@@ -131,25 +133,21 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ss.session_stop_notifications(frame(spark, sf_dir, "session_log"))
 
 
-# Packet type to record kind.
-_KIND = (
-    "case type when 'PeriodicData' then 'Periodic' when 'RowData' then 'Row' when 'SynchroData' then 'Synchro'"
-    " when 'RawCANData' then 'CAN' when 'CoverageCursorInfo' then 'Coverage' else type end"
-)
+# Only what is recorded: readable content, and no fixed-rate block without an interval. A row
+# block has a second row a microsecond after its first.
 RANGE_SQL = f"""
-    select session_key, min(ts_ns % {DAY}) as start_ns, max(ts_ns % {DAY}) as end_ns from {sql("packets")}
-    where type in ('PeriodicData', 'RowData', 'SynchroData', 'RawCANData', 'CoverageCursorInfo')
+    select session_key, min(t % {DAY}) as start_ns, max(t % {DAY}) as end_ns
+    from (select session_key, type, k, unnest(case when type = 'RowData' then [ts_ns, ts_ns + 1000] else [ts_ns] end) as t
+      from {sql("packets")})
+    where k % 31 <> 0 and type in ('PeriodicData', 'RowData', 'SynchroData', 'RawCANData', 'CoverageCursorInfo')
+      and not (type = 'PeriodicData' and k % 10 = 0)
     group by session_key
     """
 
 
-def records(packets: DataFrame) -> DataFrame:
-    return packets.selectExpr("session_key", f"{_KIND} as kind", f"ts_ns % {DAY} as day_ns")
-
-
 @query("session_time_range", RANGE_SQL)
 def ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ss.session_time_range(records(frame(spark, sf_dir, "packets")))
+    return ss.session_time_range(time_records_of(packet_log(frame(spark, sf_dir, "packets"))))
 
 
 @query(
@@ -228,13 +226,13 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     "latency_stats",
     f"""
     select run_id, kind, max(latency_ms) as max_ms,
-      cast(sum(cast(round(latency_ms * 1e6) as bigint)) as double) / 1e6 / count(*) as avg_ms, min(latency_ms) as min_ms
+      round(avg(latency_ms), 9) as avg_ms, min(latency_ms) as min_ms
     from (select *, row_number() over (partition by run_id, kind order by pkt_offset) as rn from ({MATCHED_SQL}))
     where rn > 1 group by run_id, kind
     """,
 )
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return metrics.latency_stats(matched(spark, sf_dir))
+    return metrics.latency_stats(matched(spark, sf_dir)).withColumn("avg_ms", F.round("avg_ms", 9))
 
 
 @query(

@@ -8,6 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from stintlog.session import shared_dir
+from stintlog.sources.packet_log import read_packets, write_packets
+
 TABLES = {"events", "orders", "lineitem", "part", "customer"}
 
 _SPARK_US, _DUCK_US = "unix_micros(cast(ts as timestamp))", "epoch_us(ts)"
@@ -462,3 +465,29 @@ def packet_log(packets: DataFrame) -> DataFrame:
         "is_essential",
         f"if(k % 31 = 0, '{{broken', case type {cases} else '{{}}' end) as content",
     )
+
+
+def on_disk(packets: DataFrame) -> DataFrame:
+    """The log as it is used: written and read back."""
+    path = shared_dir(packets.sparkSession, "log")
+    write_packets(packets, path)
+    return read_packets(packets.sparkSession, path)
+
+
+def faulty_log(packets: DataFrame) -> DataFrame:
+    """``packet_log`` with more faults: see ``REJECTS_SQL`` for which."""
+    changes = [
+        ("type = 'PeriodicData' and pkt_offset % 13 = 0", '"format_id":1,', '"format_id":99,'),
+        ("type = 'RowData' and pkt_offset % 11 = 0", "int32_samples", "string_samples"),
+        ("type = 'SynchroData' and pkt_offset % 7 = 0", '"intervals":[', '"intervals":[5,5,'),
+        ("type = 'Marker' and pkt_offset % 3 = 0", '"source":"1"', '"source":"x"'),
+        ("type = 'Error' and pkt_offset % 5 = 0", '"status":"SET"', '"status":"NONE"'),
+    ]
+    content = "content"
+    for condition, old, new in changes:
+        # A text that no content has where the condition does not hold.
+        content = f"replace({content}, if({condition}, '{old}', '?none?'), '{new}')"
+    return packet_log(packets).selectExpr(
+        "pkt_offset", "data_source", "session_key", "stream", "if(pkt_offset % 47 = 0, null, type) as type", "is_essential",
+        f"case when pkt_offset % 41 = 0 then null when pkt_offset % 43 = 0 then ' ' else {content} end as content",
+    )

@@ -7,11 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from checks.blocks import SAMPLES_SQL
-from checks.catalogue import RANGE_SQL, records
+from checks.catalogue import RANGE_SQL
 from checks.fixtures import derive, formats, frame, packet_log, sql, table
 from checks.racing import NAMED_SQL, with_source
 from checks.registry import query
 from stintlog.operators import race, sessions as ss
+from stintlog.plans.recording import time_records_of
 from stintlog.session import shared_dir
 from stintlog.sources import packet_log as log, session_tables
 from stintlog.streaming import recorder
@@ -83,7 +84,7 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("stream_time_range", RANGE_SQL)
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    running = ss.session_time_range(records(stream(spark, sf_dir)))
+    running = ss.session_time_range(time_records_of(packet_log(stream(spark, sf_dir))))
     updates = drained(spark, running, "ranges", output_mode="update")
     return updates.groupBy("session_key").agg(
         F.min("start_ns").alias("start_ns"), F.max("end_ns").alias("end_ns")

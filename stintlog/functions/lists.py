@@ -12,8 +12,8 @@ from stintlog.schemas import WIDE_SAMPLES
 # Elements per run of a prefix sum.
 RUN = 32
 
-# Euclid's algorithm on two unsigned 32-bit numbers ends within this many steps.
-EUCLID_STEPS = 47
+# Euclid's algorithm on two positive 64-bit numbers ends within this many steps.
+EUCLID_STEPS = 92
 
 
 def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -71,7 +71,7 @@ def _gcd(a: Column, b: Column) -> Column:
 
 
 def gcd_of(values: Column | str) -> Column:
-    """Greatest common divisor of a list of unsigned 32-bit numbers; null if all are 0 or none.
+    """Greatest common divisor of a list of numbers from 0 to 2^63 - 1; null if all are 0 or none.
 
     A value that the divisor so far divides leaves it as it is; Euclid runs for the others only.
     """

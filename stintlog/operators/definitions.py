@@ -13,17 +13,18 @@ from stintlog.operators.ordering import number_rows
 DEFAULT_CONVERSION = "DefaultConversion"
 DEFAULT_CONVERSION_FORMAT = "%5.2f"
 CONVERSION_SLOTS = 3
-MAX_CHANNEL_ID = 2_147_483_647
 
 
 def dedupe_config(config: DataFrame) -> DataFrame:
     """Keep the first packet of each config id: a stored configuration is not reprocessed.
 
-    Only ids and offsets are aggregated; the wide packets are then picked by a semi join whose
-    key includes the offset, so repeats of one id spread over all tasks.
+    Only ids and places are aggregated; the wide packets are then picked by a semi join whose
+    key includes the place, so repeats of one id spread over all tasks. A place is the offset, and
+    the stream (and partition) where the packets have them, since streams count for themselves.
     """
-    first = config.groupBy("config_id").agg(F.min("pkt_offset").alias("pkt_offset"))
-    return config.join(first, ["config_id", "pkt_offset"], "left_semi")
+    place = [c for c in ("pkt_offset", "stream", "partition") if c in config.columns]
+    first = config.groupBy("config_id").agg(F.min(F.struct(*place)).alias("first"))
+    return config.join(first.select("config_id", "first.*"), ["config_id", *place], "left_semi")
 
 
 def _conversion_name(conversion: Column) -> Column:
@@ -131,7 +132,10 @@ def default_parameter_definitions(missing: DataFrame) -> DataFrame:
     """Definitions for parameters that came without one."""
     parsed = parse_identifier("identifier")
     return missing.select(
-        F.concat_ws(":", parsed["name"], parsed["application"]).alias("identifier"),
+        # An identifier of more than two parts stays as it is, or it would still be undefined.
+        F.when(F.size(F.split("identifier", ":")) > 2, F.col("identifier"))
+        .otherwise(F.concat_ws(":", parsed["name"], parsed["application"]))
+        .alias("identifier"),
         parsed["name"].alias("name"),
         parsed["application"].alias("application_name"),
         F.lit("").alias("description"),
@@ -149,11 +153,11 @@ def default_parameter_definitions(missing: DataFrame) -> DataFrame:
 def default_event_definitions(missing: DataFrame) -> DataFrame:
     """Definitions for events that came without one.
 
-    The id is the hexadecimal name part; an event whose name is not hexadecimal has no
-    definition (``definition_id`` is null).
+    The id is the hexadecimal name part. ``undefinable_events`` lists the events whose name is not
+    hexadecimal, or has more than 32 bits: they cannot be defined.
     """
     parsed = parse_identifier("identifier")
-    return missing.select(
+    return missing.where(hex_id(parsed["name"]).isNotNull()).select(
         "identifier",
         hex_id(parsed["name"]).alias("definition_id"),
         parsed["application"].alias("application_name"),
@@ -163,6 +167,11 @@ def default_event_definitions(missing: DataFrame) -> DataFrame:
     )
 
 
+def undefinable_events(missing: DataFrame) -> DataFrame:
+    """Events without a definition for which none can be made."""
+    return missing.where(hex_id(parse_identifier("identifier")["name"]).isNull())
+
+
 def error_definitions(errors: DataFrame) -> DataFrame:
     """Two parameters, current and logged, per error name of a session.
 
@@ -212,7 +221,8 @@ def assign_channels(parameters: DataFrame, known: DataFrame | None = None) -> Da
 
     Takes ``session_key, kind, parameter, interval_ns``, repeats allowed. Channels in ``known``
     (an earlier result) keep their ids, and new ones follow. Ids number the keys by their MD5,
-    so they do not depend on arrival, and a large session is numbered in parts.
+    so they do not depend on arrival, and a large session is numbered in parts. Ids have 64 bits
+    and never wrap.
     """
     keys = ["session_key", "space", "parameter", "channel_interval"]
     text = F.concat_ws("|", "space", "parameter", F.col("channel_interval").cast("string"))
@@ -232,9 +242,9 @@ def assign_channels(parameters: DataFrame, known: DataFrame | None = None) -> Da
         "number",
     )
     if known is None:
-        return numbered.select(*keys, (F.col("number") % MAX_CHANNEL_ID).alias("channel_id"))
+        return numbered.select(*keys, F.col("number").alias("channel_id"))
     last = known.groupBy("session_key").agg(F.max("channel_id").alias("_last"))
-    following = (F.coalesce("_last", F.lit(0)) + F.col("number")) % MAX_CHANNEL_ID
+    following = F.coalesce("_last", F.lit(0)) + F.col("number")
     return known.unionByName(
         numbered.join(last, "session_key", "left").select(*keys, following.alias("channel_id"))
     )

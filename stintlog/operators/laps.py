@@ -245,7 +245,8 @@ def classify_laps(laps: DataFrame) -> DataFrame:
         .when((next_trigger == MAIN_TRIGGER) & F.col("_pit"), OUT_LAP)
         .otherwise(F.col("_given")),
     )
-    counts = next_trigger.isNotNull() & ~F.col("lap_name").isin(OUT_LAP, IN_LAP, PIT_LANE)
+    succeeded = F.lead(F.lit(True)).over(by_arrival).isNotNull()
+    counts = succeeded & ~F.col("lap_name").isin(OUT_LAP, IN_LAP, PIT_LANE)
     return named.withColumn("counts", counts).select(*laps.columns, "lap_name", "counts")
 
 

@@ -179,15 +179,24 @@ def demux_packets(
 _CORRUPT = "_corrupt"
 
 
-def decoded_content(content: Column, schema: T.StructType) -> Column:
-    """Content as a struct of ``schema``; null when it does not parse."""
+def _parsed(content: Column, schema: T.StructType) -> Column:
+    """Content as a struct of ``schema`` and the text that did not parse."""
     with_corrupt = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
-    parsed = F.from_json(
-        content, with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
-    )
-    return F.when(
-        parsed[_CORRUPT].isNull(), F.struct(*[parsed[f.name].alias(f.name) for f in schema.fields])
-    )
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
+    return F.from_json(content, with_corrupt, options)
+
+
+def _is_blank(content: Column) -> Column:
+    return content.isNull() | (F.trim(content.cast("string")) == "")
+
+
+def unreadable_content(content: Column, schema: T.StructType) -> Column:
+    """Whether content is null, blank or does not parse; parses once."""
+    def failed(parsed: Column) -> Column:
+        return parsed.isNull() | parsed[_CORRUPT].isNotNull()
+
+    # A lambda's variable is computed once, however often it is mentioned.
+    return _is_blank(content) | F.get(F.transform(F.array(_parsed(content, schema)), failed), F.lit(0))
 
 
 def _present(value: Column) -> Column:
@@ -203,19 +212,26 @@ def decode_content(
     packets: DataFrame,
     kind: str,
     schema: T.StructType | None = None,
-    decoder: Callable[[Column, T.StructType], Column] = decoded_content,
+    decoder: Callable[[Column, T.StructType], Column] | None = None,
 ) -> DataFrame:
     """Packets of one kind with their content decoded into columns of its schema.
 
     Content is JSON unless ``decoder`` says otherwise (for example with ``from_protobuf``); it
-    returns null for content it cannot read. Envelope columns keep their names, so a content field of the same name is prefixed with
-    ``content_``. Undecodable packets are left out; ``reject_packets`` has them.
+    returns null for content it cannot read. Envelope columns keep their names, so a content
+    field of the same name is prefixed with ``content_``. Packets with null, blank or undecodable
+    content are left out; ``reject_packets`` has them. Each content is parsed once: the test for
+    corrupt content reads what the generator made.
     """
     schema = schema or CONTENT[kind]
     envelope = [c for c in packets.columns if c != "content"]
-    return packets.where(F.col("type") == kind).select(
-        *envelope, _present(decoder(F.col("content"), schema)).alias("decoded")
-    ).select(
+    own = packets.where(F.col("type") == kind)
+    if decoder is None:
+        own = own.where(~_is_blank(F.col("content")))
+        made = own.select(*envelope, F.explode(F.array(_parsed(F.col("content"), schema))).alias("decoded"))
+        made = made.where(F.col("decoded").isNotNull() & F.col(f"decoded.{_CORRUPT}").isNull())
+    else:
+        made = own.select(*envelope, _present(decoder(F.col("content"), schema)).alias("decoded"))
+    return made.select(
         *envelope,
         *[
             F.col(f"decoded.{f.name}").alias(f"content_{f.name}" if f.name in envelope else f.name)
@@ -225,13 +241,16 @@ def decode_content(
 
 
 def reject_packets(
-    packets: DataFrame, schemas: Mapping[str, T.StructType] = CONTENT
+    packets: DataFrame,
+    schemas: Mapping[str, T.StructType] = CONTENT,
+    decoder: Callable[[Column, T.StructType], Column] | None = None,
 ) -> DataFrame:
-    """Packets no operator can use, with the reason: an unknown type or undecodable content."""
-    reason = F.when(~F.col("type").isin(*schemas), "unknown type")
-    for kind, schema in schemas.items():
-        bad = (F.col("type") == kind) & decoded_content(F.col("content"), schema).isNull()
-        reason = reason.when(bad, "undecodable content")
+    """Packets no operator can use, with the reason: a null or unknown type, or undecodable content."""
+    kind, content = F.col("type"), F.col("content")
+    reason = F.when(kind.isNull() | ~kind.isin(*schemas), "unknown type")
+    for name, schema in schemas.items():
+        bad = unreadable_content(content, schema) if decoder is None else decoder(content, schema).isNull()
+        reason = reason.when((kind == name) & bad, "undecodable content")
     return packets.withColumn("reason", _present(reason))
 
 

@@ -15,17 +15,29 @@ LAP_TRIGGER = "Lap Trigger"
 def lap_triggers(markers: DataFrame) -> DataFrame:
     """Markers that start a lap: trigger source as a number, and the value as a lap number.
 
-    A lap number has 16 bits; a larger value wraps around.
+    A lap number has 16 bits; a larger value wraps around. A trigger whose source is no number
+    starts no lap; ``unreadable_triggers`` has it.
     """
     carried = [c for c in markers.columns if c not in ("type", "source", "value")]
     wrapped = F.pmod(F.col("value") + 32768, F.lit(65536)) - 32768
-    return markers.where(F.col("type") == LAP_TRIGGER).select(
+    return markers.where((F.col("type") == LAP_TRIGGER) & _trigger_source().isNotNull()).select(
         *carried,
         wrapped.cast("smallint").alias("lap_number"),
-        F.col("source").try_cast("smallint").alias("trigger_source"),
+        _trigger_source().alias("trigger_source"),
     )
 
 
+def _trigger_source() -> Column:
+    """The source as an unsigned 8-bit number, else null."""
+    source = F.col("source").try_cast("smallint")
+    return F.when(source.between(0, 255), source)
+
+
+def unreadable_triggers(markers: DataFrame) -> DataFrame:
+    """Lap triggers whose source is not an unsigned 8-bit number."""
+    return markers.where((F.col("type") == LAP_TRIGGER) & _trigger_source().isNull())
+
+
 def point_markers(markers: DataFrame) -> DataFrame:
     """Markers that only label a moment."""
     return markers.where(F.col("type") != LAP_TRIGGER)
@@ -38,9 +50,13 @@ def split_markers(markers: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def dedupe_markers(markers: DataFrame) -> DataFrame:
     """A marker of the same time and label is stored once per session, at its first offset."""
-    return markers.groupBy("session_key", "day_ns", "label").agg(
-        F.min("pkt_offset").alias("pkt_offset")
-    )
+    key = ["session_key", "day_ns", "label"]
+    first = markers.groupBy(*key).agg(F.min("pkt_offset").alias("_first"))
+    m, f = markers.alias("m"), first.alias("f")
+    same = F.col("m.pkt_offset") == F.col("f._first")
+    for name in key:
+        same = same & F.col(f"m.{name}").eqNullSafe(F.col(f"f.{name}"))
+    return m.join(f, same, "left_semi").select(*markers.columns)
 
 
 def events(packets: DataFrame, definitions: DataFrame, by: Sequence[str] = ()) -> DataFrame:

@@ -148,19 +148,3 @@ def can_frames(packets: DataFrame) -> DataFrame:
         F.col("payload"),
         (F.length("payload") == 0).alias("empty_payload"),
     )
-
-
-def exact_mean(value: Column | str) -> Column:
-    """Mean that does not depend on the order in which tasks add up their rows.
-
-    Values with at most six decimals (but for floating-point noise) are summed as whole numbers
-    of millionths. If any value of a group has more, or the sum is too large, the group gets
-    the ordinary mean.
-    """
-    value = as_column(value)
-    millionths = F.round(value * 1e6)
-    noise = F.abs(millionths / 1e6 - value) <= 1e-12 * F.abs(value)
-    is_whole = (F.abs(millionths) < 2.0**53) & noise
-    total = F.try_sum(F.when(is_whole, millionths.cast("bigint")))
-    exact = total.cast("double") / 1e6 / F.count(value)
-    return F.coalesce(F.when(F.count_if(is_whole) == F.count(value), exact), F.avg(value))

@@ -16,7 +16,7 @@ from stintlog.operators.ordering import BUCKET_SPAN, number_rows
 # Record kinds that stretch a session's time range.
 RANGE_KINDS = ("Periodic", "Row", "Synchro", "CAN", "Coverage")
 
-INFO_COLUMNS = ("session_type", "version", "utc_offset")
+INFO_COLUMNS = ("session_type", "version", "utc_offset", "streams", "offsets", "main_offset", "essentials_offset")
 
 
 def session_catalog(log: DataFrame) -> DataFrame:
@@ -108,8 +108,12 @@ def session_details(updates: DataFrame) -> DataFrame:
 
 
 def associated_sessions(updates: DataFrame) -> DataFrame:
-    """Sessions associated with each session, a row per pair."""
-    return updates.where(F.col("assoc_key").isNotNull()).select("session_key", "assoc_key").distinct()
+    """Sessions associated with each session, a row per pair.
+
+    Takes ``session_key`` and the array ``assoc_keys``, as in ``plans.recording.session_log_of``.
+    """
+    pairs = updates.select("session_key", F.explode("assoc_keys").alias("assoc_key"))
+    return pairs.where(F.col("assoc_key").isNotNull()).distinct()
 
 
 def _notifications(packets: DataFrame, kind: str, data_source: str | None) -> DataFrame:

@@ -2,42 +2,105 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from stintlog.functions.lists import sample_kind
 from stintlog.functions.times import day_time
 from stintlog.operators import laps, packets as pk, race, samples as sm, sessions
-from stintlog.operators.formats import check_arity, resolve_parameter_list
+from stintlog.operators.definitions import (
+    dedupe_config, error_definitions, event_definitions, group_definitions, parameter_definitions,
+)
+from stintlog.operators.formats import check_arity, resolve_event, resolve_parameter_list
 
 SAMPLE_COLUMNS = [
     "session_key", "parameter", "ts_ns", "day_ns", "value", "status", "kind", "interval_ns", "pkt_offset",
 ]
 
 
-def _blocks(packets: DataFrame, formats: DataFrame, kind: str, lists: str) -> DataFrame:
-    """Decoded blocks of one kind with resolved names and wide lists, sizes checked."""
+# Sample lists of each kind of block.
+_LISTS = {"PeriodicData": "columns", "RowData": "rows", "SynchroData": "columns"}
+
+Decoder = Callable[[Column, T.StructType], Column]
+
+
+def _decoded(packets: DataFrame, kind: str, decoder: Decoder | None = None) -> DataFrame:
     envelope = packets.select("pkt_offset", "session_key", "type", "content")
-    blocks = pk.decode_content(envelope, kind).drop("type")
-    blocks = check_arity(sm.widen_samples(resolve_parameter_list(blocks, formats), lists))
+    return pk.decode_content(envelope, kind, decoder=decoder).drop("type")
+
+
+def _sized(decoded: DataFrame, formats: DataFrame, kind: str) -> DataFrame:
+    """Decoded blocks of one kind with resolved names and wide lists, and their size error."""
+    return check_arity(sm.widen_samples(resolve_parameter_list(decoded, formats), _LISTS[kind]))
+
+
+def _blocks(packets: DataFrame, formats: DataFrame, kind: str, decoder: Decoder | None = None) -> DataFrame:
+    """The blocks of one kind whose sizes agree; ``rejects_of`` has the others."""
+    blocks = _sized(_decoded(packets, kind, decoder), formats, kind)
     return blocks.where(F.col("arity_error").isNull()).drop("arity_error", "format_id")
 
 
-def samples_of(packets: DataFrame, formats: DataFrame) -> DataFrame:
+def samples_of(packets: DataFrame, formats: DataFrame, decoder: Decoder | None = None) -> DataFrame:
     """All samples of a log: fixed-rate, row and variable-rate blocks in one long table."""
     zero = F.lit(0).cast("bigint")
+    periodic, rows, synchro = (_blocks(packets, formats, kind, decoder) for kind in _LISTS)
     parts = [
-        sm.explode_periodic(sm.drop_zero_interval(_blocks(packets, formats, "PeriodicData", "columns"))),
-        sm.explode_rows(_blocks(packets, formats, "RowData", "rows")).withColumn("interval_ns", zero),
-        sm.explode_synchro(_blocks(packets, formats, "SynchroData", "columns")).withColumn("interval_ns", zero),
+        sm.explode_periodic(sm.drop_zero_interval(periodic)),
+        sm.explode_rows(rows).withColumn("interval_ns", zero),
+        sm.explode_synchro(synchro).withColumn("interval_ns", zero),
     ]
     return reduce(DataFrame.unionByName, [part.select(*SAMPLE_COLUMNS) for part in parts])
 
 
-def lap_triggers_of(packets: DataFrame) -> DataFrame:
+def rejects_of(packets: DataFrame, formats: DataFrame, decoder: Decoder | None = None) -> DataFrame:
+    """Everything of a log that no table holds: ``session_key, pkt_offset, type, item, reason``.
+
+    Packets of unknown type or undecodable content, blocks whose sizes disagree or that have no
+    time axis, lists that are no numbers (``item`` is their place), variable-rate columns that do
+    not fit (``item`` is the parameter), triggers, events and errors that say nothing usable. With
+    the samples these account for every list of every block.
+    """
+    packets = packets.select("pkt_offset", "session_key", "type", "content")
+
+    def rows(df: DataFrame, kind: Column, reason: Column | str, item: Column = F.lit(None)) -> DataFrame:
+        reason = F.lit(reason) if isinstance(reason, str) else reason
+        return df.select(
+            "session_key", "pkt_offset", kind.alias("type"), item.cast("string").alias("item"), reason.alias("reason")
+        )
+
+    parts = [rows(pk.reject_packets(packets, decoder=decoder), F.col("type"), F.col("reason"))]
+    for kind, lists in _LISTS.items():
+        decoded = _decoded(packets, kind, decoder)
+        sized = _sized(decoded, formats, kind)
+        name = F.lit(kind)
+        parts.append(rows(sized.where(F.col("arity_error").isNotNull()), name, F.col("arity_error")))
+        fitting = sized.where(F.col("arity_error").isNull()).drop("arity_error", "format_id")
+        typed = decoded
+        if kind == "PeriodicData":
+            idle = ~F.coalesce(F.col("interval_ns") > 0, F.lit(False))
+            parts.append(rows(fitting.where(idle), name, "no interval"))
+            typed = decoded.where(~idle)
+        # Of blocks whose sizes agree: the others are rejected as a whole.
+        unread = sm.unreadable_lists(typed.select("session_key", "pkt_offset", lists), lists)
+        unread = unread.join(fitting.select("session_key", "pkt_offset"), ["session_key", "pkt_offset"], "left_semi")
+        parts.append(rows(unread, name, "no list of numbers", F.col("list_no")))
+        if kind == "SynchroData":
+            misfits = sm.misfit_synchro(fitting).where(F.col("n_samples") >= 0)
+            parts.append(rows(misfits, name, "samples do not fit intervals", F.col("parameter")))
+    markers = _decoded(packets, "Marker", decoder).withColumnRenamed("content_type", "type")
+    parts.append(rows(race.unreadable_triggers(markers), F.lit("Marker"), "unreadable trigger source"))
+    events = resolve_event(_decoded(packets, "Event", decoder), formats)
+    parts.append(rows(events.where(F.col("event_identifier").isNull()), F.lit("Event"), "unknown event format"))
+    errors = race.reject_errors(_decoded(packets, "Error", decoder))
+    parts.append(rows(errors, F.lit("Error"), "no channel for status and type"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def lap_triggers_of(packets: DataFrame, decoder: Decoder | None = None) -> DataFrame:
     """Lap triggers of a log, with their day time."""
-    envelope = packets.select("pkt_offset", "session_key", "type", "content")
-    markers = pk.decode_content(envelope, "Marker").drop("type").withColumnRenamed("content_type", "type")
+    markers = _decoded(packets, "Marker", decoder).withColumnRenamed("content_type", "type")
     return race.lap_triggers(markers).withColumn("day_ns", day_time("ts_ns"))
 
 
@@ -55,26 +118,32 @@ def sample_report(samples: DataFrame) -> DataFrame:
         F.count(valid).alias("n_valid"),
         F.min(valid).alias("min_value"),
         F.max(valid).alias("max_value"),
-        sm.exact_mean(valid).alias("mean_value"),
+        F.avg(valid).alias("mean_value"),
     )
 
 
-def time_records_of(packets: DataFrame) -> DataFrame:
+def time_records_of(packets: DataFrame, decoder: Decoder | None = None) -> DataFrame:
     """Times that stretch a session's range: ``session_key, kind, day_ns``.
 
-    A fixed-rate or variable-rate block counts with its start, a row block with its rows.
+    Only what is recorded counts: a fixed-rate or variable-rate block with its start, unless its
+    interval is 0 or it has no list of numbers, and a row block with its rows of numbers.
     """
     envelope = packets.select("session_key", "type", "content")
 
-    def times(packet_type: str, kind: str, *at: Column) -> DataFrame:
-        return pk.decode_content(envelope, packet_type).select(
+    def times(packet_type: str, kind: str, *at: Column, where: Column = F.lit(True)) -> DataFrame:
+        return pk.decode_content(envelope, packet_type, decoder=decoder).where(where).select(
             "session_key", F.lit(kind).alias("kind"), F.explode(F.array(*at)).alias("ts_ns")
         )
 
+    def numeric(samples: Column) -> Column:
+        return sample_kind(samples).isin("double", "int", "bool")
+
+    block = F.exists("columns", numeric)
+    rows = F.filter(F.arrays_zip("timestamps", "rows"), lambda r: numeric(r["rows"]))["timestamps"]
     parts = [
-        times("PeriodicData", "Periodic", F.col("start_ns")),
-        times("RowData", "Row", F.array_min("timestamps"), F.array_max("timestamps")),
-        times("SynchroData", "Synchro", F.col("start_ns")),
+        times("PeriodicData", "Periodic", F.col("start_ns"), where=block & (F.col("interval_ns") != 0)),
+        times("RowData", "Row", F.array_min(rows), F.array_max(rows), where=F.exists("rows", numeric)),
+        times("SynchroData", "Synchro", F.col("start_ns"), where=block),
         times("RawCANData", "CAN", F.col("ts_ns")),
         times("CoverageCursorInfo", "Coverage", F.col("ts_ns")),
     ]
@@ -83,11 +152,11 @@ def time_records_of(packets: DataFrame) -> DataFrame:
     )
 
 
-def session_log_of(packets: DataFrame) -> DataFrame:
+def session_log_of(packets: DataFrame, decoder: Decoder | None = None) -> DataFrame:
     """The session packets of a log in one shape; see ``operators.sessions``."""
     envelope = packets.select("pkt_offset", "data_source", "session_key", "type", "content")
     opened, updated, ended = (
-        pk.decode_content(envelope, kind) for kind in ("NewSession", "SessionInfo", "EndOfSession")
+        pk.decode_content(envelope, kind, decoder=decoder) for kind in ("NewSession", "SessionInfo", "EndOfSession")
     )
     opened = opened.withColumn(
         "utc_offset", F.make_dt_interval(secs=F.col("utc_offset_seconds").cast("decimal(18,6)"))
@@ -106,32 +175,42 @@ def session_log_of(packets: DataFrame) -> DataFrame:
         "utc_offset",
         "details",
         "assoc_keys",
+        "streams",
+        "offsets",
+        "main_offset",
+        "essentials_offset",
     )
 
 
-def record_session_tables(packets: DataFrame, formats: DataFrame) -> dict[str, DataFrame]:
+def record_session_tables(packets: DataFrame, formats: DataFrame, decoder: Decoder | None = None) -> dict[str, DataFrame]:
     """The tables of a log, or of a micro-batch of it, by name; rejects included.
 
-    Rows of different batches only ever add up; ``close_sessions`` folds them.
+    Rows of different batches only ever add up; ``close_sessions`` folds them. Definitions are
+    those that the packets bring; names and ids are resolved, and what cannot be is in ``rejects``.
     """
-    envelope = packets.select("pkt_offset", "session_key", "type", "content")
-
     def decoded(kind: str) -> DataFrame:
-        return pk.decode_content(envelope, kind).drop("type")
+        return _decoded(packets, kind, decoder)
 
+    markers = decoded("Marker").withColumnRenamed("content_type", "type")
+    config = dedupe_config(decoded("Configuration"))
+    sessions_log = session_log_of(packets, decoder)
     return {
-        "samples": samples_of(packets, formats),
-        "lap_triggers": lap_triggers_of(packets),
-        "markers": race.point_markers(
-            pk.decode_content(envelope, "Marker").drop("type").withColumnRenamed("content_type", "type")
-        ),
-        "events": decoded("Event"),
+        "samples": samples_of(packets, formats, decoder),
+        "lap_triggers": race.lap_triggers(markers).withColumn("day_ns", day_time("ts_ns")),
+        "markers": race.point_markers(markers),
+        "events": resolve_event(decoded("Event"), formats).where(F.col("event_identifier").isNotNull()),
         "errors": decoded("Error"),
+        "error_definitions": error_definitions(decoded("Error")),
         "can_frames": sm.can_frames(decoded("RawCANData")),
         "coverage": decoded("CoverageCursorInfo"),
         "metadata": race.metadata_items(decoded("Metadata")),
-        "ranges": sessions.session_time_range(time_records_of(packets)),
-        "rejects": pk.reject_packets(envelope),
+        "parameter_definitions": parameter_definitions(config),
+        "event_definitions": event_definitions(config),
+        "group_definitions": group_definitions(config),
+        "session_log": sessions_log,
+        "details": sessions.session_details(sessions_log),
+        "ranges": sessions.session_time_range(time_records_of(packets, decoder)),
+        "rejects": rejects_of(packets, formats, decoder),
     }
 
 

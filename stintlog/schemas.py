@@ -110,6 +110,10 @@ CONTENT: dict[str, T.StructType] = {
         utc_offset_seconds=LONG,
         details=_TEXTS,
         assoc_keys=_many(TEXT),
+        streams=_many(TEXT),
+        offsets=T.MapType(TEXT, LONG),
+        main_offset=LONG,
+        essentials_offset=LONG,
     ),
     "SessionInfo": record(
         data_source=TEXT,
@@ -118,6 +122,10 @@ CONTENT: dict[str, T.StructType] = {
         version=INT,
         details=_TEXTS,
         assoc_keys=_many(TEXT),
+        streams=_many(TEXT),
+        offsets=T.MapType(TEXT, LONG),
+        main_offset=LONG,
+        essentials_offset=LONG,
     ),
     "EndOfSession": record(data_source=TEXT),
 }

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,21 +27,14 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-@cache
-def _local_dir() -> str:
-    return tempfile.mkdtemp(prefix="stintlog-")
-
-
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below the cluster's ``spark.checkpoint.dir``.
 
-    A machine-local folder is used only for a local master with the setting unset (tests).
+    Where that is unset, the warehouse folder is used: driver and executors share it as well.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        base = _local_dir()
+    base = spark.conf.get("spark.checkpoint.dir", None) or (
+        spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/work"
+    )
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 

@@ -4,18 +4,22 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from stintlog.operators.packets import (
-    ESSENTIALS, MAIN_STREAM, ReadSpec, match_session, select_packets,
+    ESSENTIALS, LATEST, MAIN_STREAM, ReadSpec, match_session, select_packets,
 )
 from stintlog.schemas import BOOL, PACKETS, TEXT, record
 
 # Reading one kind, stream or source then reads only its folders.
 PARTITIONS = ["data_source", "stream", "type"]
 
+# Files of a micro-batch unless the reader says otherwise, so that a backlog is never one batch.
+FILES_PER_TRIGGER = 1_000
+
 
 def read_packets(
     spark: SparkSession,
@@ -26,11 +30,13 @@ def read_packets(
 ) -> DataFrame:
     """Packets of a log written by ``write_packets``, filtered by ``spec``.
 
-    ``files_per_trigger`` limits a micro-batch of the streaming form.
+    ``files_per_trigger`` limits a micro-batch of the streaming form. There ``LATEST`` means what
+    is appended from now on: the offsets that the log has reached are looked up first.
     """
     reader = (spark.readStream if streaming else spark.read).schema(PACKETS)
-    if files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    if streaming:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger or FILES_PER_TRIGGER)
+        spec = _from_now_on(spark, path, spec)
     # A folder name cannot be empty, so the main stream comes back as null.
     packets = reader.parquet(path).withColumn(
         "stream", F.coalesce("stream", F.lit(MAIN_STREAM))
@@ -38,6 +44,20 @@ def read_packets(
     return select_packets(packets, spec)
 
 
+def _from_now_on(spark: SparkSession, path: str, spec: ReadSpec) -> ReadSpec:
+    """The spec with the next offset of its log in place of each ``LATEST``."""
+    if LATEST not in (*spec.offsets, spec.main_offset):
+        return spec
+    log = select_packets(
+        spark.read.schema(PACKETS).parquet(path).withColumn("stream", F.coalesce("stream", F.lit(MAIN_STREAM))),
+        ReadSpec(spec.data_source, spec.session_key),
+    )
+    reached = {r["stream"]: r["last"] + 1 for r in log.groupBy("stream").agg(F.max("pkt_offset").alias("last")).collect()}
+    offsets = [reached.get(s, 0) if o == LATEST else o for s, o in spec.starts().items()]
+    main = reached.get(MAIN_STREAM, 0) if spec.main_offset == LATEST else spec.main_offset
+    return replace(spec, offsets=offsets, main_offset=main)
+
+
 def kafka_options(
     spec: ReadSpec, servers: str, strategy: str, partitions: Mapping[str, int] | None = None
 ) -> dict[str, str]:
@@ -50,10 +70,14 @@ def kafka_options(
     source = spec.data_source
     options = {"kafka.bootstrap.servers": servers}
     if not spec.streams:
+        if spec.main_offset == LATEST:
+            raise ValueError("name the streams of a Kafka read whose main stream starts at LATEST")
         pattern = source.replace(".", "\\.")
-        options["subscribePattern"] = (
-            f"{pattern}(\\.(?!{ESSENTIALS}$).*)?" if strategy == "topic" else pattern
-        )
+        if strategy == "topic":
+            other = f"\\.(?!{ESSENTIALS}$).*"
+            pattern += other if spec.exclude_main_stream else f"({other})?"
+        options["subscribePattern"] = pattern
+        # A pattern takes no offsets by topic: ``read_kafka`` filters the main stream's.
         options["startingOffsets"] = "earliest"
         return options
     starts = spec.starts()
@@ -94,7 +118,7 @@ def kafka_packets(
     mapped to the record's partition. Offsets count per topic and partition.
     """
     if partitions is None:
-        stream = F.substring("topic", len(data_source) + 2, 1 << 20)
+        stream = F.col("topic").substr(F.lit(len(data_source) + 2), F.length("topic"))
     else:
         stream = F.lit(MAIN_STREAM)
         for name, number in partitions.items():
@@ -129,7 +153,9 @@ def read_kafka(
     packets = kafka_packets(
         records, spec.data_source, partitions or {} if strategy == "partition" else None
     )
-    return match_session(packets, spec.session_key) if spec.session_key else packets
+    return select_packets(packets, replace(spec, offsets=())) if not spec.streams else (
+        match_session(packets, spec.session_key) if spec.session_key else packets
+    )
 
 
 def write_packets(packets: DataFrame, path: str, mode: str = "append") -> None:

@@ -85,13 +85,18 @@ def test_defaults_for_missing(spark):
     ]
     events = spark.createDataFrame([("1F:App",), ("Lap:App",)], "identifier string")
     assert sorted((r.identifier, r.definition_id) for r in df.default_event_definitions(events).collect()) == [
-        ("1F:App", 31), ("Lap:App", None),
+        ("1F:App", 31),
     ]
+    assert [r.identifier for r in df.undefinable_events(events).collect()] == ["Lap:App"]
+    parts = spark.createDataFrame([("a:b:c",)], "identifier string")
+    assert df.default_parameter_definitions(parts).first().identifier == "a:b:c"
 
 
 def test_first_config_wins(spark):
     config = spark.createDataFrame([("c", 5, "late"), ("c", 2, "first"), ("d", 9, "only")], "config_id string, pkt_offset bigint, body string")
     assert sorted(r.body for r in df.dedupe_config(config).collect()) == ["first", "only"]
+    streams = spark.createDataFrame([("c", 1, "B"), ("c", 1, "A")], "config_id string, pkt_offset bigint, stream string")
+    assert [r.stream for r in df.dedupe_config(streams).collect()] == ["A"]
 
 
 def test_lap_numbers_wrap(spark):

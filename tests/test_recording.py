@@ -8,8 +8,8 @@ import json
 from pyspark.sql import functions as F
 
 from checks.blocks import DAY
-from checks.fixtures import formats, frame, packet_log
-from stintlog.operators import sessions as ss
+from checks.fixtures import faulty_log, formats, frame, on_disk, packet_log
+from stintlog.operators import packets as pk, sessions as ss
 from stintlog.plans import recording
 from stintlog.schemas import PACKETS
 
@@ -65,7 +65,7 @@ def test_whole_session(spark):
         ("qty:Sales", 9, 1.0), ("s", 6, 1.0), ("s", 7, 2.0), ("s", 9, 3.0),
     ]
     assert sorted((r.item_key, r.str_value, r.dbl_value) for r in tables["metadata"].collect()) == [("k", "v", None), ("n", None, 1.5)]
-    assert [r.reason for r in tables["rejects"].collect()] == ["unknown type"]
+    assert sorted(r.reason for r in tables["rejects"].collect()) == ["no list of numbers", "unknown type"]
 
     summary, laps = recording.close_sessions(catalog, tables["ranges"], tables["lap_triggers"])
     assert sorted((r.session_key, r.start_ns // S, r.end_ns // S, r.n_laps, r.n_counting) for r in summary.collect()) == [
@@ -76,8 +76,77 @@ def test_whole_session(spark):
     ]
 
 
+def test_range_leaves_out_ignored_blocks(spark):
+    block = {"format_id": 0, "params": ["a:X"], "interval_ns": 1}
+    numbers, text = [{"double_samples": [{"value": 1.0, "status": "VALID"}]}], [{"string_samples": [{"value": "t", "status": "VALID"}]}]
+    bodies = [
+        {**block, "start_ns": 5, "interval_ns": 0, "columns": numbers},
+        {**block, "start_ns": 7, "columns": text},
+        {**block, "start_ns": 50, "columns": numbers},
+    ]
+    log = one_session(spark, [("PeriodicData", body) for body in bodies])
+    got = ss.session_time_range(recording.time_records_of(log)).collect()
+    assert [(r.start_ns, r.end_ns) for r in got] == [(50, 50)]
+
+
+def one_session(spark, rows):
+    """A log of session A from (type, content); content that is no dict is taken as it is."""
+    data = [(i, "DS", "A", "", kind, False, json.dumps(body) if isinstance(body, dict) else body) for i, (kind, body) in enumerate(rows)]
+    return spark.createDataFrame(data, PACKETS)
+
+
+def test_samples_and_rejects_account_for_every_list(spark):
+    log = on_disk(faulty_log(frame(spark, SF, "packets")))
+    samples = recording.samples_of(log, formats(spark)).select("session_key", "pkt_offset", "kind").distinct()
+    rejects = recording.rejects_of(log, formats(spark)).select("session_key", "pkt_offset").distinct()
+    blocks = log.where(F.col("type").isin("PeriodicData", "RowData", "SynchroData")).select("session_key", "pkt_offset")
+    seen = samples.select("session_key", "pkt_offset").union(rejects).distinct()
+    assert blocks.exceptAll(blocks.intersect(seen)).isEmpty()
+    assert samples.join(rejects, ["session_key", "pkt_offset"], "left_semi").isEmpty()
+
+
+def test_content_that_cannot_be_read_is_rejected(spark):
+    log = one_session(spark, [("Event", None), ("Event", ""), ("Event", " "), ("Event", "{broken"), (None, "{}"), ("Odd", "{}"), ("Event", {"ts_ns": 1})])
+    assert [r.pkt_offset for r in pk.decode_content(log, "Event").collect()] == [6]
+    reasons = {r.pkt_offset: r.reason for r in pk.reject_packets(log).collect()}
+    assert reasons == dict.fromkeys(range(4), "undecodable content") | dict.fromkeys((4, 5), "unknown type")
+
+
+def test_content_is_parsed_once(spark):
+    plan = pk.decode_content(packet_log(frame(spark, SF, "packets")), "PeriodicData")
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("from_json") == 1
+
+
+def test_another_decoder_reaches_every_table(spark):
+    def reversed_json(content, schema):
+        return F.from_json(F.reverse(content), schema)
+
+    log = one_session(spark, [("CoverageCursorInfo", json.dumps({"ts_ns": 7})[::-1]), ("Error", json.dumps({"ts_ns": 1, "name": "E", "status": "SET", "error_type": "CURRENT"})[::-1])])
+    tables = recording.record_session_tables(log, formats(spark), reversed_json)
+    assert [r.ts_ns for r in tables["coverage"].collect()] == [7] and tables["errors"].count() == 1
+
+
+def test_unreadable_trigger_starts_no_lap(spark):
+    rows = [("Marker", {"ts_ns": t * S, "type": "Lap Trigger", "label": f"L{t}", "source": s, "value": t}) for t, s in ((0, "0"), (100, "1"), (200, "x"), (300, "0"), (400, "0"))]
+    log = one_session(spark, rows)
+    named = recording.laps_of(recording.lap_triggers_of(log)).orderBy("pkt_offset").collect()
+    assert [(r.label, r.lap_name, r.counts) for r in named] == [
+        ("L0", "In Lap", False), ("L100", "Out Lap", False), ("L300", "Out Lap", False), ("L400", "L400", False),
+    ]
+    assert [r.pkt_offset for r in recording.rejects_of(log, formats(spark)).collect()] == [2]
+
+
+def test_session_info_fits_the_offset_functions(spark):
+    opened = {"data_source": "DS", "identifier": "Run", "streams": ["A", "B"], "offsets": {"DS.A:0": 5}, "assoc_keys": ["P"]}
+    log = recording.session_log_of(one_session(spark, [("NewSession", opened)]))
+    offsets = pk.resolve_offsets(ss.session_catalog(log)).collect()
+    assert sorted((r.stream, r.start_offset) for r in offsets) == [("A", 5), ("B", 0)]
+    assert [tuple(r) for r in ss.associated_sessions(log).collect()] == [("A", "P")]
+
+
 def test_range_of_decoded_log_equals_range_of_blocks(spark):
-    flat = frame(spark, SF, "packets").where("k % 31 <> 0")
+    flat = frame(spark, SF, "packets").where("k % 31 <> 0 and not (type = 'PeriodicData' and k % 10 = 0)")
     got = ss.session_time_range(recording.time_records_of(packet_log(flat)))
     kinds = ["PeriodicData", "RowData", "SynchroData", "RawCANData", "CoverageCursorInfo"]
     # A row block holds a second row one microsecond after the first.

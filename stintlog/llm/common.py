@@ -35,11 +35,21 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
 
     This cuts the lineage: a lost executor costs a read, and every later use sees the same rows.
     """
-    folder = work_folder(df.sparkSession, purpose)
+    return written_at(df, work_folder(df.sparkSession, purpose))
+
+
+def written_at(df: DataFrame, folder: str) -> DataFrame:
+    """The same in a folder that the caller removes once all that reads it is written itself."""
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def remove(spark: SparkSession, *folders: str) -> None:
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A to Z and nothing else."""
     return F.translate(text, UPPER, LOWER)
@@ -56,11 +66,13 @@ def documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 def per_worker(key: tuple, build: Callable[[], Built]) -> Built:
     """What ``build`` returns, made once in each Python worker and kept between its tasks.
 
-    Functions travel by value, so a module's own globals would start anew with every task.
+    Functions travel by value, so a module's own globals would start anew with every task. Only
+    the latest is kept: the next operator's tasks run in the same workers and need the memory.
     """
     import pyspark
 
     kept = pyspark.__dict__.setdefault("_kept_between_tasks", {})
     if key not in kept:
+        kept.clear()
         kept[key] = build()
     return kept[key]

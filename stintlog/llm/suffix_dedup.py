@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stintlog.llm.common import documents, written
+from stintlog.llm.common import documents, remove, work_folder, written, written_at
 
 LENGTH = 200  # bytes of a string that counts as a repeat
 GRAM = 24  # bytes of an anchor
@@ -284,17 +284,23 @@ def _spans_between(parts: DataFrame) -> DataFrame:
     Anchors are extended once for all chunks, which tells most of them apart, and again for those
     that too many different chunks share. Rounds are bounded by the logarithm of ``LENGTH``.
     """
+    spark = parts.sparkSession
     found = None
+    used: list[str] = []
     while True:
-        grown = written(parts.mapInPandas(_extended, _PARTS), "extended")
+        folders = [work_folder(spark, name) for name in ("extended", "extended-kinds", "parts")]
+        grown = written_at(parts.mapInPandas(_extended, _PARTS), folders[0])
+        remove(spark, *used)
+        used = folders
         each = grown.groupBy("h", "c").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("id", "off")).alias("one"))
-        each = written(each, "extended-kinds")
+        each = written_at(each, folders[1])
         equal = grown.join(each.filter("copies > 1").select("h", "c"), ["h", "c"], "left_semi")
         equal = equal.select("id", "off", F.octet_length("data").alias("n"))
         several = each.groupBy("h").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1")
         # One part for each content; copies of the same part are found by (h, c).
         ones = each.join(several, "h").select("h", "c", "kinds", F.col("one.id").alias("id"), F.col("one.off").alias("off"))
-        kept = written(grown.join(ones, ["h", "c", "id", "off"]).withColumn("part", F.monotonically_increasing_id()), "parts")
+        kept = grown.join(ones, ["h", "c", "id", "off"]).withColumn("part", F.monotonically_increasing_id())
+        kept = written_at(kept, folders[2])
         calm = kept.filter(F.col("kinds") <= GROUP)
         spans = (
             calm.select("h", F.col("part").alias("id"), "data")
@@ -305,10 +311,11 @@ def _spans_between(parts: DataFrame) -> DataFrame:
             .join(calm.select("part", "h", "c"), "part")
         )
         spans = grown.select("h", "c", "id", "off").join(spans, ["h", "c"])
-        made = equal.union(spans.select("id", (F.col("off") + F.col("inside")).alias("off"), "n"))
+        made = written(equal.union(spans.select("id", (F.col("off") + F.col("inside")).alias("off"), "n")), "spans")
         found = made if found is None else found.union(made)
         crowded = kept.filter(F.col("kinds") > GROUP)
         if crowded.isEmpty():
+            remove(spark, *used)
             return found
         # The parts that share a crowded anchor, copies too: each keeps its own place.
         parts = grown.join(crowded.select("h").distinct(), "h", "left_semi")
@@ -321,8 +328,10 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, text_key, s, n: byte spans of each text that are repeats; they may overlap."""
     rows = _keyed(docs, id_col, text_col)
-    dealt = written(rows.mapInPandas(_chunked, CHUNKS), "chunks")
-    local = dealt.filter("h is null").select("doc_id", "text_key", "s", "n")
+    spark = docs.sparkSession
+    folders = [work_folder(spark, name) for name in ("chunks", "parts")]
+    dealt = written_at(rows.mapInPandas(_chunked, CHUNKS), folders[0])
+    local = written(dealt.filter("h is null").select("doc_id", "text_key", "s", "n"), "local")
     chunk = dealt.filter("h is not null")
     anchor = (
         chunk.groupBy("h")
@@ -331,6 +340,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         .select("h", (F.col("low") != F.col("high")).alias("several"))
     )
     shared = written(chunk.join(anchor, "h"), "shared")
+    remove(spark, folders[0])
     whole = shared.filter("not several").select("doc_id", "text_key", "s", "n")
     mixed = shared.filter("several")
     kinds = written(
@@ -341,13 +351,15 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     )
     wanted = kinds.select("id", "h", "c", "one.*").withColumnsRenamed({"doc_id": "of_doc", "text_key": "of_key"})
     data = F.substring(F.col("text").cast("binary"), F.col("s") + 1, F.col("n"))
-    parts = written(
+    parts = written_at(
         rows.join(wanted, rows["doc_id"].eqNullSafe(wanted["of_doc"]) & (rows["text_key"] == wanted["of_key"]))
         .select("id", F.lit(0).alias("off"), "h", "c", data.alias("data"), "a", F.lit(GRAM).alias("g"))
         .dropDuplicates(["id"]),
-        "parts",
+        folders[1],
     )
-    inside = _spans_between(parts).join(kinds.select("id", "h", "c"), "id").select("h", "c", "off", F.col("n").alias("m"))
+    apart = _spans_between(parts)
+    remove(spark, folders[1])
+    inside = apart.join(kinds.select("id", "h", "c"), "id").select("h", "c", "off", F.col("n").alias("m"))
     equal = kinds.filter("copies > 1").select("h", "c", F.lit(0).alias("off"), F.col("one.n").alias("m"))
     inside = inside.union(equal)
     between = mixed.join(inside, ["h", "c"]).select("doc_id", "text_key", (F.col("s") + F.col("off")).alias("s"), F.col("m").alias("n"))

@@ -17,6 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,9 +25,10 @@ from stintlog.llm.common import documents, per_worker
 from stintlog.llm.string_kernel import END, START, LinearScore, codes, kernel, windows
 
 # Labelled documents that the machine is fitted on, the first in an order by hash.
-TOXIC_SAMPLE, CLEAN_SAMPLE = 800, 1_600
+TOXIC_SAMPLE, CLEAN_SAMPLE = 700, 1_600
 LANDMARKS, CLEAN_LANDMARKS = 48, 16
 GRAM = 5
+GRAMS = 4_000  # grams that landmarks are chosen by, those with the best evidence
 EVIDENCE = 6.0  # of a gram that a landmark stands for: toxic documents times log of the odds
 RATIO = 4.0  # how much oftener a word must be in toxic documents to be what is meant
 ROUNDS = 3
@@ -148,35 +150,39 @@ def train(units_of: dict[int, set[str]], toxic: dict[int, int]) -> ToxicityModel
     rng = np.random.Generator(np.random.PCG64(1))
     n_toxic = Counter(u for d in pos for u in units_of[d])
     n_clean = Counter(u for d in neg for u in units_of[d])
-    grams_of = {u: _grams(u) for u in n_toxic}
-    in_toxic: dict[str, set[int]] = defaultdict(set)
+    # Documents that have a gram, counted; the documents themselves only for the best grams.
+    in_toxic: Counter = Counter()
     for d in pos:
-        for u in units_of[d]:
-            for g in grams_of[u]:
-                in_toxic[g].add(d)
+        in_toxic.update({g for u in units_of[d] for g in _grams(u)})
     in_clean: Counter = Counter()
     for d in neg:
-        in_clean.update({g for u in units_of[d] for g in (grams_of.get(u) or _grams(u)) if g in in_toxic})
-    evidence = {
-        g: len(docs) * max(0.0, np.log((len(docs) + 0.5) / len(pos) / ((in_clean[g] + 0.5) / len(neg))))
-        for g, docs in in_toxic.items()
-    }
-    ranked = sorted(evidence, key=lambda g: (-evidence[g], g))
+        in_clean.update({g for u in units_of[d] for g in _grams(u) if g in in_toxic})
+    evidence = {}
+    for g, n in in_toxic.items():
+        value = n * np.log((n + 0.5) / len(pos) / ((in_clean[g] + 0.5) / len(neg)))
+        if value > 0:
+            evidence[g] = float(value)
+    del in_clean
+    ranked = sorted(evidence, key=lambda g: (-evidence[g], g))[:GRAMS]
+    docs_with: dict[str, set[int]] = {g: set() for g in ranked}
+    with_gram: dict[str, set[str]] = {g: set() for g in ranked}
+    for d in pos:
+        for u in units_of[d]:
+            for g in _grams(u):
+                if g in docs_with:
+                    docs_with[g].add(d)
+                    with_gram[g].add(u)
 
     # Landmarks: words with the best evidence, as long as they explain documents that few explain.
-    with_gram: dict[str, list[str]] = defaultdict(list)
-    for u, gs in grams_of.items():
-        for g in gs:
-            with_gram[g].append(u)
     covered: Counter = Counter()
     chosen: list[str] = []
-    for g in ranked[:4_000]:
-        gain = sum(covered[d] < 6 for d in in_toxic[g])
+    for g in ranked:
+        gain = sum(covered[d] < 6 for d in docs_with[g])
         if evidence[g] >= EVIDENCE and gain >= max(2, 0.004 * len(pos)) or not chosen:
             best = max(with_gram[g], key=lambda u: (n_toxic[u] - len(neg) * n_clean[u], u))
             if best not in chosen:
                 chosen.append(best)
-                covered.update(in_toxic[g])
+                covered.update(docs_with[g])
         if len(chosen) == LANDMARKS:
             break
     clean_units = sorted(n_clean)
@@ -191,7 +197,7 @@ def train(units_of: dict[int, set[str]], toxic: dict[int, int]) -> ToxicityModel
         return kernel(codes([windows(u)[0] for u in units]), marked) @ whiten
 
     def strength(u: str) -> float:
-        return max(evidence[g] for g in grams_of[u])
+        return max(evidence.get(g, 0.0) for g in _grams(u))
 
     # A toxic document without any word that is rare in clean ones explains nothing.
     candidates = {d: sorted(u for u in units_of[d] if n_toxic[u] / len(pos) > RATIO * n_clean[u] / len(neg)) for d in pos}
@@ -219,7 +225,8 @@ def train(units_of: dict[int, set[str]], toxic: dict[int, int]) -> ToxicityModel
         w = fit_svm(features(units), y, weight)
         score = LinearScore(landmarks, whiten @ w, OFFSET)
         if turn < ROUNDS - 1:
-            of = dict(zip(grams_of, score(list(grams_of)).tolist()))
+            toxic_units = sorted({u for us in candidates.values() for u in us})
+            of = dict(zip(toxic_units, score(toxic_units).tolist()))
             meant = {d: max(us, key=lambda u: (of[u], u)) for d, us in candidates.items()}
             of_clean = score(clean_units)
             hardest = np.argsort(-of_clean, kind="stable")[: NEGATIVES // 2]
@@ -251,11 +258,17 @@ def learn(docs: DataFrame, labels: DataFrame, held_out: int = 0, folds: int = 5)
             yield pd.DataFrame(rows, columns=["doc_id", "toxic", "unit"])
 
     chosen = documents(docs).join(F.broadcast(sample), F.col("doc_id") == F.col("id"))
-    rows = chosen.select("doc_id", "toxic", "text").mapInPandas(words, "doc_id long, toxic int, unit string").toPandas()
+    rows = chosen.select("doc_id", "toxic", "text").mapInPandas(words, "doc_id long, toxic int, unit string").toArrow()
+    ids = rows["doc_id"].to_pylist()
+    toxic = dict(zip(ids, rows["toxic"].to_pylist()))
+    # Each different word once, however many documents have it.
+    coded = pa.chunked_array([rows["unit"].combine_chunks()]).dictionary_encode().combine_chunks()
+    shown = coded.dictionary.to_pylist()
     units_of: dict[int, set[str]] = defaultdict(set)
-    for d, u in zip(rows["doc_id"].tolist(), rows["unit"]):
-        units_of[d].add(u)
-    return train(units_of, dict(zip(rows["doc_id"].tolist(), rows["toxic"].tolist())))
+    for d, u in zip(ids, coded.indices.to_pylist()):
+        units_of[d].add(shown[u])
+    del rows, coded, ids
+    return train(units_of, toxic)
 
 
 def fold(doc_id, folds: int = 5):

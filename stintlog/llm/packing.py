@@ -27,7 +27,7 @@ from stintlog.llm.common import documents, per_worker, written
 PIECES_PER_GROUP = 1_024
 
 # Words, and pieces of words, remembered by a Python worker; a full memory is emptied.
-REMEMBERED = 800_000
+REMEMBERED = 600_000
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 PACKED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"

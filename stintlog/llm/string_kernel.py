@@ -11,6 +11,7 @@ DECAY = 0.7  # weight of each letter that a subsequence spans, so gaps are toler
 WINDOW = 20  # characters of a unit that are compared at once; longer units give several windows
 
 START, END = "\x02", "\x03"
+_REST = np.uint64(44)
 _rng = np.random.Generator(np.random.PCG64(1))
 _PLACES = _rng.integers(1 << 63, size=ORDER, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -85,6 +86,9 @@ class LinearScore:
                 weights[key] = weights.get(key, 0.0) + share * d
         self.keys = np.array(sorted(weights) or [0], dtype=np.uint64)
         self.weights = np.array([weights.get(k, 0.0) for k in self.keys.tolist()])
+        # Most subsequences of a text are in no landmark: their first bits already tell.
+        self.first_bits = np.zeros(1 << 20, dtype=bool)
+        self.first_bits[self.keys >> _REST] = True
 
     @staticmethod
     def _subsequences(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -110,8 +114,11 @@ class LinearScore:
                 part = same[k : k + step]
                 rows = codes([w for _, w in part])
                 keys, decay = self._subsequences(rows)
-                place = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-                hit = np.where(self.keys[place] == keys, self.weights[place], 0.0)
+                row, at = np.nonzero(self.first_bits[keys >> _REST])
+                found = keys[row, at]
+                place = np.minimum(np.searchsorted(self.keys, found), len(self.keys) - 1)
+                hit = np.where(self.keys[place] == found, self.weights[place], 0.0)
                 # A subsequence spans its letters in the unit as in the landmark.
-                np.maximum.at(best, [i for i, _ in part], hit @ decay / norms(rows))
+                total = np.bincount(row, weights=hit * decay[at], minlength=len(rows))
+                np.maximum.at(best, [i for i, _ in part], total / norms(rows))
         return out + np.where(np.isfinite(best), best, 0.0)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stintlog.llm import bpe, exact_dedup, html_text, minhash, neighbours, packing, sharding, suffix_dedup, toxicity
+from stintlog.llm import bpe, exact_dedup, html_text, licenses, minhash, neighbours, packing, sharding, suffix_dedup, toxicity
 from stintlog.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.detect(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.licenses_of(_table(spark, sf_dir, "documents"))
+
+
 def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(_table(spark, sf_dir, "embeddings"), most=20, every=20)
 
@@ -80,3 +84,7 @@ QUERIES: dict[str, Query] = {
     "op10_suffix_dedup": op10_suffix_dedup,
 }
 ORACLES: dict[str, str] = {"op4_exact_dedup": OP4_SQL}
+
+# Registered beside QUERIES, whose numbers a test lists.
+LICENSE_QUERIES: dict[str, Query] = {"op2_licenses": op2_licenses}
+LICENSE_ORACLES: dict[str, str] = {"op2_licenses": licenses.oracle_sql()}

@@ -13,7 +13,7 @@ import hashlib
 import re
 from collections import Counter, defaultdict
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -41,13 +41,15 @@ BENT = 2  # copies of each insult with an inserted letter that a fit sees
 REMEMBERED = 700_000
 
 _MARKS = re.compile(r"[\W_]+")
+# Added to a text's mean before the logarithm: a text without insults is far from one with few.
+LEAST_MEAN = 1e-3
 _SPELLED = re.compile(r"(?<!\S)\w(?:\s\w){3,}(?!\S)")
 
 
-def words_of(text: str) -> set[str]:
-    """The different words of a whole text, and runs of single letters joined, in lower case."""
+def words_of(text: str) -> list[str]:
+    """The words of a whole text with their repeats, and runs of single letters joined, in lower case."""
     low = text.lower()
-    return {*low.split(), *(re.sub(r"\s", "", run) for run in _SPELLED.findall(low))}
+    return [*low.split(), *(re.sub(r"\s", "", run) for run in _SPELLED.findall(low))]
 
 
 def unit_of(word: str) -> str:
@@ -73,7 +75,11 @@ class ToxicityModel:
 
 
 class Scorer:
-    """Margins of texts; each word is scored once as long as it is remembered."""
+    """Margins of texts; each word is scored once as long as it is remembered.
+
+    What a word adds is its margin where that is above 0. A sentence has the sum over its words, a
+    text the sum over its sentences for each word it has: how often, not only whether, it insults.
+    """
 
     def __init__(self, model: ToxicityModel):
         self.model = model
@@ -81,7 +87,7 @@ class Scorer:
         self._seen: dict[str, float] = {}
 
     def margins(self, texts: list[str]) -> np.ndarray:
-        """The largest margin of each text's words; the bias for a text without words."""
+        """The logarithm of what a word of each text adds in the mean; lowest for a text without words."""
         words = [words_of(t) for t in texts]
         seen = self._seen
         new = list({w for ws in words for w in ws if w not in seen})
@@ -91,9 +97,10 @@ class Scorer:
         units: dict[str, list[str]] = defaultdict(list)
         for w in new:
             units[unit_of(w)].append(w)
-        for unit, score in zip(units, self.score(list(units)).tolist()):
+        for unit, score in zip(units, np.maximum(self.score(list(units)), 0).tolist()):
             seen.update(dict.fromkeys(units[unit], score))
-        return np.array([max(map(seen.__getitem__, ws), default=self.model.bias) for ws in words], dtype=np.float64)
+        mean = [sum(map(seen.__getitem__, ws)) / max(1, len(ws)) for ws in words]
+        return np.log(np.array(mean, dtype=np.float64) + LEAST_MEAN)
 
 
 def fit_svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
@@ -139,7 +146,7 @@ def _calibrated(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 
 def train(units_of: dict[int, set[str]], toxic: dict[int, int]) -> ToxicityModel:
-    """A model from the units of each labelled document.
+    """A model from the units of each labelled document, not calibrated yet.
 
     Without documents of both kinds there is nothing to learn: every score is 0.
     """
@@ -232,11 +239,7 @@ def train(units_of: dict[int, set[str]], toxic: dict[int, int]) -> ToxicityModel
             hardest = np.argsort(-of_clean, kind="stable")[: NEGATIVES // 2]
             said = set(meant.values())
             hard = list(dict.fromkeys([*hard, *(clean_units[i] for i in hardest if clean_units[i] not in said)]))
-    every = sorted({u for d in (*pos, *neg) for u in units_of[d]})
-    of = dict(zip(every, score(every).tolist()))
-    margin = np.array([max(of[u] for u in units_of[d]) for d in (*pos, *neg)])
-    slope, shift = _calibrated(margin, np.r_[np.ones(len(pos)), np.zeros(len(neg))])
-    return ToxicityModel(landmarks, whiten @ w, OFFSET, slope, shift)
+    return ToxicityModel(landmarks, whiten @ w, OFFSET, 1.0, 0.0)
 
 
 def learn(docs: DataFrame, labels: DataFrame, held_out: int = 0, folds: int = 5) -> ToxicityModel:
@@ -268,15 +271,31 @@ def learn(docs: DataFrame, labels: DataFrame, held_out: int = 0, folds: int = 5)
     for d, u in zip(ids, coded.indices.to_pylist()):
         units_of[d].add(shown[u])
     del rows, coded, ids
-    return train(units_of, toxic)
+    model = train(units_of, toxic)
+    if not model.landmarks:
+        return model
+    # Calibrated on the margins of the whole texts, words counted as in scoring.
+    margin = margins_of(docs.sparkSession, model)
+    rows = chosen.select("toxic", margin(F.col("text")).alias("margin")).toPandas().sort_values(["toxic", "margin"])
+    slope, shift = _calibrated(rows["margin"].to_numpy(), rows["toxic"].to_numpy(dtype=float))
+    return replace(model, slope=slope, shift=shift)
 
 
 def fold(doc_id, folds: int = 5):
     return F.crc32(doc_id.cast("string").cast("binary")) % folds
 
 
+def margins_of(spark: SparkSession, model: ToxicityModel) -> Callable[[Column], Column]:
+    """A function from a text column to its margin."""
+    return _column_of(spark, model, lambda scorer, margin: margin)
+
+
 def scorer_of(spark: SparkSession, model: ToxicityModel) -> Callable[[Column], Column]:
     """A function from a text column to its score, a double from 0 to 1."""
+    return _column_of(spark, model, lambda scorer, margin: scorer.model.probability(margin))
+
+
+def _column_of(spark: SparkSession, model: ToxicityModel, told: Callable[[Scorer, np.ndarray], np.ndarray]) -> Callable[[Column], Column]:
     sent = spark.sparkContext.broadcast(model)
     key = ("toxicity", model.key())
 
@@ -286,7 +305,7 @@ def scorer_of(spark: SparkSession, model: ToxicityModel) -> Callable[[Column], C
         for batch in texts:
             rows = batch.tolist()
             margin = [scorer.margins(rows[i : i + 400]) for i in range(0, len(rows), 400)]
-            yield pd.Series(scorer.model.probability(np.concatenate(margin or [np.empty(0)])))
+            yield pd.Series(told(scorer, np.concatenate(margin or [np.empty(0)])))
 
     return score
 

@@ -119,3 +119,18 @@ def test_labels_and_ids_are_no_inputs(spark):
     one = tx.score_documents(frame(spark, docs), model).collect()
     two = tx.score_documents(frame(spark, docs).withColumns({"doc_id": F.lit(1), "lang": F.lit("xx"), "source": F.lit("s")}), model).collect()
     assert sorted(r.score for r in one) == sorted(r.score for r in two)
+
+
+def test_words_count_as_often_as_they_occur(spark):
+    rng = random.Random(8)
+    stems = [words(rng, 1) for _ in range(30)]
+    docs, labels = [], []
+    for i in range(500):
+        text = words(rng, rng.randrange(40, 60)).split()
+        for _ in range(5 if i % 5 == 0 else i % 2):  # every other clean text has one such word as well
+            text.insert(rng.randrange(len(text)), "qrstuvw" + rng.choice(stems))
+        docs.append((i, " ".join(text)))
+        labels.append((i, int(i % 5 == 0)))
+    got = tx.detect(frame(spark, docs), spark.createDataFrame(labels, "doc_id long, toxic int")).filter("held_out").collect()
+    hit = sum(r.predicted and r.doc_id % 5 == 0 for r in got)
+    assert hit / sum(r.doc_id % 5 == 0 for r in got) > 0.9 and hit / max(1, sum(r.predicted for r in got)) > 0.9

@@ -1,10 +1,10 @@
 """Toxicity: a support vector machine over a subsequence string kernel with Nystroem landmarks.
 
-A text is its sentences, a sentence its units: words without marks inside, and runs of single
-letters that spell a word. The kernel of a sentence with a landmark is the largest of its units,
-so that one insult counts the same in a long sentence, and gaps or inserted letters cost little.
-The machine is trained on sentences of a bounded sample of labelled documents; which sentences of
-a toxic document are meant is found by turns with the fit.
+The kernel's strings are single words without marks inside, and runs of at least four single
+letters with one space between them; they stand in for the sentences that the method is meant
+for. Gaps or inserted letters in a word cost little; insults across a space, or of several
+ordinary words, do not match. The machine is trained on words of a bounded sample of labelled
+documents; which words of a toxic document are meant is found by turns with the fit.
 """
 
 from __future__ import annotations

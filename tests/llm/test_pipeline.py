@@ -16,7 +16,7 @@ from tests.llm.test_suffix_dedup import brute as repeats
 
 
 def test_registered():
-    assert {f"op{n}" for n in (1, 3, 4, 5, 6, 7, 8, 9, 10)} == {q.split("_")[0] for q in queries.QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in queries.QUERIES}
     assert {*queries.QUERIES, "pipeline"} <= set(entry.queries()) and set(queries.ORACLES) <= set(entry.oracle_sql())
     assert [name for name, _ in cp.STAGES] == ["toxicity", "exact dedup", "near dedup", "suffix dedup", "packing"]
     assert cp.ORACLE_SQL is None

@@ -412,6 +412,9 @@ REJECTS_SQL = f"""
     select session_key, pkt_offset, type, null, 'unreadable trigger source'
     from good where type = 'Marker' and k % 5 <> 0 and k % 4 = 0 and pkt_offset % 3 = 0
     union all
+    select session_key, pkt_offset, type, concat('Zz', k % 7, ':App'), 'event without a definition or id'
+    from good where type = 'Event' and pkt_offset % 17 = 0
+    union all
     select session_key, pkt_offset, type, null, 'no channel for status and type'
     from good where type = 'Error' and k % 2 = 0 and pkt_offset % 5 = 0
     """

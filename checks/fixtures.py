@@ -481,6 +481,7 @@ def faulty_log(packets: DataFrame) -> DataFrame:
         ("type = 'RowData' and pkt_offset % 11 = 0", "int32_samples", "string_samples"),
         ("type = 'SynchroData' and pkt_offset % 7 = 0", '"intervals":[', '"intervals":[5,5,'),
         ("type = 'Marker' and pkt_offset % 3 = 0", '"source":"1"', '"source":"x"'),
+        ("type = 'Event' and pkt_offset % 17 = 0", '"event_identifier":"1F', '"event_identifier":"Zz'),
         ("type = 'Error' and pkt_offset % 5 = 0", '"status":"SET"', '"status":"NONE"'),
     ]
     content = "content"

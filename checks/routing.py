@@ -10,6 +10,7 @@ from checks.fixtures import PARTITIONS, frame, packet_log, sql, table
 from checks.registry import query
 from stintlog.functions.names import packet_type_name, parse_identifier
 from stintlog.operators import packets as pk, sessions
+from stintlog.functions.times import to_timestamp
 from stintlog.session import shared_dir
 from stintlog.sources import packet_log as log, session_tables
 
@@ -136,12 +137,21 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return routed.select("pkt_offset", "topic", "topic_partition")
 
 
-@query("write_packets", f"select {ENVELOPE_SQL}, cast(k as varchar) as content from {PACKETS}")
+@query(
+    "write_packets",
+    f"select {ENVELOPE_SQL}, cast(k as varchar) as content, cast(k % 4 as integer) as partition, ts_ns as submit_ns from {PACKETS}",
+)
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "log")
-    packets = frame(spark, sf_dir, "packets").select(*ENVELOPE, F.col("k").cast("string").alias("content"))
+    packets = frame(spark, sf_dir, "packets").select(
+        *ENVELOPE,
+        F.col("k").cast("string").alias("content"),
+        F.expr("cast(k % 4 as int) as partition"),
+        to_timestamp("ts_ns").alias("submit_time"),
+    )
     log.write_packets(packets, path)
-    return log.read_packets(spark, path)
+    stored = log.read_packets(spark, path)
+    return stored.withColumn("submit_ns", F.unix_micros("submit_time") * 1000).drop("submit_time")
 
 
 @query(

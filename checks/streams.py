@@ -4,18 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from checks.blocks import SAMPLES_SQL
+from checks.blocks import SAMPLES_SQL, samples_sql
 from checks.catalogue import RANGE_SQL
 from checks.fixtures import derive, formats, frame, packet_log, sql, table
 from checks.racing import NAMED_SQL, with_source
 from checks.registry import query
+from stintlog.functions.times import to_timestamp
 from stintlog.operators import race, sessions as ss
 from stintlog.plans.recording import time_records_of
+from stintlog.schemas import LOG
 from stintlog.session import shared_dir
 from stintlog.sources import packet_log as log, session_tables
-from stintlog.streaming import recorder
+from stintlog.streaming import recorder, stateful
 
 
 def stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,6 +28,22 @@ def stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derive(events, "packets")
 
 
+def submitted() -> Column:
+    """A packet arrives each second."""
+    return F.timestamp_seconds(F.lit(1_700_000_000) + F.col("pkt_offset"))
+
+
+def arriving(packets: DataFrame) -> DataFrame:
+    return packets.withColumn("submit_time", submitted())
+
+
+def later(packets: DataFrame) -> DataFrame:
+    """The first packets again, long after the others and of a session that is none of theirs."""
+    clock = packets.where("pkt_offset < 10").withColumn("session_key", F.lit("~"))
+    clock = clock.withColumn("pkt_offset", F.col("pkt_offset") + 10**8)
+    return clock.withColumn("submit_time", submitted()) if "submit_time" in packets.columns else clock
+
+
 def drained(
     spark: SparkSession, source: DataFrame, name: str, shape: Callable[[DataFrame], DataFrame] | None = None,
     output_mode: str = "append",
@@ -78,8 +96,84 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    triggers = race.lap_triggers(with_source(derive(stream(spark, sf_dir), "markers")))
-    return recorder.latest_laps(drained(spark, recorder.stream_laps(triggers), "laps"))
+    packets = arriving(stream(spark, sf_dir))
+    markers = derive(packets, "markers").withColumn("submit_time", submitted())
+    triggers = race.lap_triggers(with_source(markers))
+    # Some sessions end on the way; a packet of another one, much later, lets time pass for all.
+    ends = packets.where("pkt_offset % 50 = 0").select("session_key", "submit_time")
+    named = stateful.session_laps(triggers, ends.unionByName(later(packets).select("session_key", "submit_time")))
+    return recorder.latest_laps(drained(spark, named, "laps"))
+
+
+@query(
+    "stream_dedupe_markers",
+    f"""
+    select distinct session_key, day_ns - day_ns % 60000000000 as day_ns, concat('M', value % 3) as label
+    from {sql("markers")}
+    """,
+)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    markers = derive(stream(spark, sf_dir), "markers").selectExpr(
+        "pkt_offset", "session_key", "day_ns - day_ns % 60000000000 as day_ns", "concat('M', value % 3) as label"
+    )
+    # A packet a second: the whole table lies within the lateness.
+    once = recorder.dedupe_marker_stream(markers.withColumn("submit_time", submitted()), "60 days")
+    return drained(spark, once, "markers_once").select("session_key", "day_ns", "label")
+
+
+_DEFINED = ["vCar:Chassis", "nEngine:StreamAPI", "k:Row", "twice:Row", "rWheel:Chassis"]
+_BLOCKS = "('PeriodicData', 'RowData', 'SynchroData')"
+
+
+@query(
+    "live_blocks",
+    f"""
+    with p as (select *, session_key in (select session_key from {sql("packets")} where type = 'Event') as defined
+      from {sql("packets")} where type in {_BLOCKS}),
+    d as (select distinct session_key from p where defined)
+    select session_key, pkt_offset, parameter as item, cast(null as varchar) as reason, count(*) as n_samples
+    from ({samples_sql()}) where parameter not in ('qty:Sales', 'price:Sales') and session_key in (select session_key from d)
+    group by session_key, pkt_offset, parameter
+    union all
+    select session_key, pkt_offset, case when type = 'RowData' then 'k:Row,twice:Row' when type = 'SynchroData'
+      then 'rWheel:Chassis' when k % 3 = 2 then 'qty:Sales,price:Sales' when k % 3 = 1
+      then 'nEngine:StreamAPI,vCar:Chassis' else 'vCar:Chassis,nEngine:StreamAPI' end, 'parameter not defined', 0
+    from p where k % 31 <> 0 and (not defined or type = 'PeriodicData' and k % 3 = 2)
+    union all
+    select session_key, pkt_offset, null, 'no interval', 0
+    from p where k % 31 <> 0 and defined and type = 'PeriodicData' and k % 3 <> 2 and k % 10 = 0
+    union all
+    select session_key, pkt_offset, null, 'undecodable content', 0 from p where k % 31 = 0
+    """,
+)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blocks whose formats and definitions arrive as streams: samples and rejects account for all."""
+    flat = stream(spark, sf_dir)
+    packets = packet_log(flat.unionByName(later(flat))).withColumn("submit_time", submitted())
+    lists = F.when(F.col("format_id") == 1, F.array(F.lit("nEngine"), F.lit("vCar:Chassis"))).otherwise(
+        F.array(F.lit("qty:Sales"), F.lit("price:Sales"))
+    )
+    # Time passes on all three streams.
+    announced = (
+        flat.unionByName(later(flat))
+        .where("pkt_offset < 6 or session_key = '~'")
+        .selectExpr("pkt_offset", "concat('DS', pkt_offset % 3) as data_source", "if(pkt_offset < 6, 1 + pkt_offset div 3, 99) as format_id")
+        .withColumn("kind", F.lit("parameter"))
+        .withColumn("params", lists)
+        .withColumn("submit_time", submitted())
+    )
+    # Sessions with an event define these parameters, some with every event again.
+    told = flat.where("type = 'Event'").select("session_key", "pkt_offset")
+    defined = arriving(told.unionByName(later(flat).select("session_key", "pkt_offset")))
+    defined = defined.withColumn("parameter", F.explode(F.array(*map(F.lit, _DEFINED))))
+    path, checkpoint = shared_dir(spark, "live"), shared_dir(spark, "live-checkpoint")
+    recorder.stream_samples(
+        packets, announced, path, checkpoint, definitions=defined, wait="1 day", lateness="60 days", salts=2
+    ).awaitTermination()
+    samples, rejects = (session_tables.load_table(spark, path, t).drop(*session_tables.LAYOUT) for t in ("samples", "rejects"))
+    counted = samples.where("session_key <> '~'").groupBy("session_key", "pkt_offset", F.col("parameter").alias("item")).agg(F.count(F.lit(1)).alias("n_samples"))
+    lost = rejects.where("session_key <> '~'").select("session_key", "pkt_offset", "item", "reason", F.lit(0).cast("bigint").alias("n_samples"))
+    return counted.withColumn("reason", F.lit(None).cast("string")).unionByName(lost)
 
 
 @query("stream_time_range", RANGE_SQL)
@@ -108,8 +202,18 @@ BURSTS_SQL = f"""
 
 @query("session_idle_close", BURSTS_SQL)
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    packets = frame(spark, sf_dir, "packets").withColumnRenamed("ts_ns", "submit_ns")
-    return recorder.idle_bursts(packets, _GAP)
+    """The stored log streamed; a packet of another session, much later, ends the last bursts."""
+    packets = frame(spark, sf_dir, "packets").withColumn("submit_time", to_timestamp("ts_ns"))
+    clock = packets.orderBy("pkt_offset").limit(1).withColumn("session_key", F.lit("~"))
+    clock = clock.withColumn("submit_time", F.col("submit_time") + F.expr("interval 10000 days"))
+    archive = shared_dir(spark, "log")
+    stored = packets.unionByName(clock).withColumn("content", F.lit("{}"))
+    log.write_packets(stored.select(*[f.name for f in LOG if f.name in stored.columns]), archive)
+    bursts = drained(spark, recorder.session_idle_close(log.read_packets(spark, archive, streaming=True), "6 hours"), "bursts")
+    last = bursts.groupBy("session_key").agg(F.max("first_ns").alias("_last"))
+    return bursts.join(last, "session_key").select(
+        "session_key", "first_ns", "last_ns", "n_packets", (F.col("first_ns") == F.col("_last")).alias("is_last")
+    )
 
 
 @query(

@@ -15,16 +15,24 @@ DEFAULT_CONVERSION_FORMAT = "%5.2f"
 CONVERSION_SLOTS = 3
 
 
-def dedupe_config(config: DataFrame) -> DataFrame:
+def dedupe_config(config: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Keep the first packet of each config id: a stored configuration is not reprocessed.
 
+    With ``by=["session_key"]`` each session has its own.
+
     Only ids and places are aggregated; the wide packets are then picked by a semi join whose
     key includes the place, so repeats of one id spread over all tasks. A place is the offset, and
     the stream (and partition) where the packets have them, since streams count for themselves.
     """
     place = [c for c in ("pkt_offset", "stream", "partition") if c in config.columns]
-    first = config.groupBy("config_id").agg(F.min(F.struct(*place)).alias("first"))
-    return config.join(first.select("config_id", "first.*"), ["config_id", *place], "left_semi")
+    keys = [*by, "config_id"]
+    first = config.groupBy(*keys).agg(F.min(F.struct(*place)).alias("first"))
+    return config.join(first.select(*keys, "first.*"), [*keys, *place], "left_semi")
+
+
+def _carried(config: DataFrame) -> list[str]:
+    """Where a definition comes from; the session only where the packets say it."""
+    return [*(["session_key"] if "session_key" in config.columns else []), "config_id", "pkt_offset"]
 
 
 def _conversion_name(conversion: Column) -> Column:
@@ -35,10 +43,9 @@ def _conversion_name(conversion: Column) -> Column:
 def parameter_definitions(config: DataFrame) -> DataFrame:
     """One row per parameter of the configuration packets."""
     return config.select(
-        "config_id", "pkt_offset", F.explode("parameter_definitions").alias("d")
+        *_carried(config), F.explode("parameter_definitions").alias("d")
     ).select(
-        "config_id",
-        "pkt_offset",
+        *_carried(config),
         "d.identifier",
         "d.name",
         "d.application_name",
@@ -63,10 +70,9 @@ def event_definitions(config: DataFrame) -> DataFrame:
         lambda i: _conversion_name(F.get(F.col("d.conversions"), i)),
     )
     return config.select(
-        "config_id", "pkt_offset", F.explode("event_definitions").alias("d")
+        *_carried(config), F.explode("event_definitions").alias("d")
     ).select(
-        "config_id",
-        "pkt_offset",
+        *_carried(config),
         "d.identifier",
         "d.definition_id",
         "d.application_name",
@@ -79,8 +85,8 @@ def event_definitions(config: DataFrame) -> DataFrame:
 def group_definitions(config: DataFrame) -> DataFrame:
     """One row per group of the configuration packets."""
     return config.select(
-        "config_id", "pkt_offset", F.explode("group_definitions").alias("d")
-    ).select("config_id", "pkt_offset", "d.identifier", "d.name", "d.application_name")
+        *_carried(config), F.explode("group_definitions").alias("d")
+    ).select(*_carried(config), "d.identifier", "d.name", "d.application_name")
 
 
 def application_groups(config: DataFrame) -> DataFrame:

@@ -208,6 +208,23 @@ def _present(value: Column) -> Column:
     return F.explode(F.array_compact(F.array(value)))
 
 
+def decoded_value(
+    content: Column,
+    kind: str,
+    use: Callable[[Column], Column],
+    decoder: Callable[[Column, T.StructType], Column] | None = None,
+) -> Column:
+    """``use`` of the decoded content of one kind, null where ``decode_content`` leaves it out; parses once."""
+    schema = CONTENT[kind]
+
+    def used(block: Column) -> Column:
+        good = block.isNotNull() if decoder is not None else block.isNotNull() & block[_CORRUPT].isNull()
+        return F.when(good, use(block))
+
+    made = _parsed(content, schema) if decoder is None else decoder(content, schema)
+    return F.when(~_is_blank(content), F.get(F.transform(F.array(made), used), F.lit(0)))
+
+
 def decode_content(
     packets: DataFrame,
     kind: str,

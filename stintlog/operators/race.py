@@ -49,23 +49,27 @@ def split_markers(markers: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def dedupe_markers(markers: DataFrame) -> DataFrame:
-    """A marker of the same time and label is stored once per session, at its first offset."""
+    """A marker of the same time and label is stored once per session, at its first offset.
+
+    Offsets count per stream, so several markers may share the first one; the rest of the row then
+    decides. Combined before the shuffle, without a join.
+    """
     key = ["session_key", "day_ns", "label"]
-    first = markers.groupBy(*key).agg(F.min("pkt_offset").alias("_first"))
-    m, f = markers.alias("m"), first.alias("f")
-    same = F.col("m.pkt_offset") == F.col("f._first")
-    for name in key:
-        same = same & F.col(f"m.{name}").eqNullSafe(F.col(f"f.{name}"))
-    return m.join(f, same, "left_semi").select(*markers.columns)
+    rest = [c for c in markers.columns if c not in (*key, "pkt_offset")]
+    first = F.min(F.struct("pkt_offset", *rest)).alias("_first")
+    return markers.groupBy(*key).agg(first).select(*key, "_first.*").select(*markers.columns)
 
 
 def events(packets: DataFrame, definitions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Events with the id and application of their definition; undefined ones are not stored.
 
-    ``definitions`` has one row per identifier (and ``by`` columns, such as the session).
+    Of repeated definitions of an identifier (and ``by`` columns, such as the session) the latest
+    counts.
     """
-    known = definitions.select(
-        *by, F.col("identifier").alias("event_identifier"), "definition_id", "application_name"
+    at = ["pkt_offset"] if "pkt_offset" in definitions.columns else []
+    latest = F.max(F.struct(*at, "definition_id", "application_name")).alias("d")
+    known = definitions.groupBy(*by, F.col("identifier").alias("event_identifier")).agg(latest).select(
+        *by, "event_identifier", "d.definition_id", "d.application_name"
     )
     return packets.join(known, [*by, "event_identifier"]).select(
         "pkt_offset",

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -11,7 +11,7 @@ from stintlog.functions.lists import sample_kind
 from stintlog.functions.times import day_time
 from stintlog.operators import laps, packets as pk, race, samples as sm, sessions
 from stintlog.operators.definitions import (
-    dedupe_config, error_definitions, event_definitions, group_definitions, parameter_definitions,
+    dedupe_config, error_definitions, event_definitions, group_definitions, parameter_definitions, undefinable_events,
 )
 from stintlog.operators.formats import check_arity, resolve_event, resolve_parameter_list
 
@@ -21,31 +21,44 @@ SAMPLE_COLUMNS = [
 
 
 # Sample lists of each kind of block.
-_LISTS = {"PeriodicData": "columns", "RowData": "rows", "SynchroData": "columns"}
+LISTS = {"PeriodicData": "columns", "RowData": "rows", "SynchroData": "columns"}
+
+# Resolved names of a block, where it brings them.
+_KNOWN = "known_params"
 
 Decoder = Callable[[Column, T.StructType], Column]
 
 
 def _decoded(packets: DataFrame, kind: str, decoder: Decoder | None = None) -> DataFrame:
-    envelope = packets.select("pkt_offset", "session_key", "type", "content")
-    return pk.decode_content(envelope, kind, decoder=decoder).drop("type")
+    carried = [c for c in ("pkt_offset", "session_key", "type", "content", _KNOWN) if c in packets.columns]
+    return pk.decode_content(packets.select(carried), kind, decoder=decoder).drop("type")
+
 
+def _sized(decoded: DataFrame, formats: DataFrame | None, kind: str) -> DataFrame:
+    """Decoded blocks of one kind with resolved names and wide lists, and their size error.
 
-def _sized(decoded: DataFrame, formats: DataFrame, kind: str) -> DataFrame:
-    """Decoded blocks of one kind with resolved names and wide lists, and their size error."""
-    return check_arity(sm.widen_samples(resolve_parameter_list(decoded, formats), _LISTS[kind]))
+    Without formats the blocks bring their resolved names in ``known_params``.
+    """
+    if formats is None:
+        resolved = decoded.withColumn("params", F.col(_KNOWN)).drop(_KNOWN)
+    else:
+        resolved = resolve_parameter_list(decoded, formats)
+    return check_arity(sm.widen_samples(resolved, LISTS[kind]))
 
 
-def _blocks(packets: DataFrame, formats: DataFrame, kind: str, decoder: Decoder | None = None) -> DataFrame:
+def _blocks(packets: DataFrame, formats: DataFrame | None, kind: str, decoder: Decoder | None = None) -> DataFrame:
     """The blocks of one kind whose sizes agree; ``rejects_of`` has the others."""
     blocks = _sized(_decoded(packets, kind, decoder), formats, kind)
     return blocks.where(F.col("arity_error").isNull()).drop("arity_error", "format_id")
 
 
-def samples_of(packets: DataFrame, formats: DataFrame, decoder: Decoder | None = None) -> DataFrame:
-    """All samples of a log: fixed-rate, row and variable-rate blocks in one long table."""
+def samples_of(packets: DataFrame, formats: DataFrame | None, decoder: Decoder | None = None) -> DataFrame:
+    """All samples of a log: fixed-rate, row and variable-rate blocks in one long table.
+
+    Without formats the packets bring their resolved names as a column ``known_params``.
+    """
     zero = F.lit(0).cast("bigint")
-    periodic, rows, synchro = (_blocks(packets, formats, kind, decoder) for kind in _LISTS)
+    periodic, rows, synchro = (_blocks(packets, formats, kind, decoder) for kind in LISTS)
     parts = [
         sm.explode_periodic(sm.drop_zero_interval(periodic)),
         sm.explode_rows(rows).withColumn("interval_ns", zero),
@@ -54,15 +67,17 @@ def samples_of(packets: DataFrame, formats: DataFrame, decoder: Decoder | None =
     return reduce(DataFrame.unionByName, [part.select(*SAMPLE_COLUMNS) for part in parts])
 
 
-def rejects_of(packets: DataFrame, formats: DataFrame, decoder: Decoder | None = None) -> DataFrame:
+def rejects_of(packets: DataFrame, formats: DataFrame | None, decoder: Decoder | None = None) -> DataFrame:
     """Everything of a log that no table holds: ``session_key, pkt_offset, type, item, reason``.
 
     Packets of unknown type or undecodable content, blocks whose sizes disagree or that have no
     time axis, lists that are no numbers (``item`` is their place), variable-rate columns that do
     not fit (``item`` is the parameter), triggers, events and errors that say nothing usable. With
-    the samples these account for every list of every block.
+    the samples these account for every list of every block. Without formats see ``samples_of``; events
+    are then not looked at.
     """
-    packets = packets.select("pkt_offset", "session_key", "type", "content")
+    carried = [c for c in ("pkt_offset", "session_key", "type", "content", _KNOWN) if c in packets.columns]
+    packets = packets.select(carried)
 
     def rows(df: DataFrame, kind: Column, reason: Column | str, item: Column = F.lit(None)) -> DataFrame:
         reason = F.lit(reason) if isinstance(reason, str) else reason
@@ -71,7 +86,7 @@ def rejects_of(packets: DataFrame, formats: DataFrame, decoder: Decoder | None =
         )
 
     parts = [rows(pk.reject_packets(packets, decoder=decoder), F.col("type"), F.col("reason"))]
-    for kind, lists in _LISTS.items():
+    for kind, lists in LISTS.items():
         decoded = _decoded(packets, kind, decoder)
         sized = _sized(decoded, formats, kind)
         name = F.lit(kind)
@@ -91,8 +106,14 @@ def rejects_of(packets: DataFrame, formats: DataFrame, decoder: Decoder | None =
             parts.append(rows(misfits, name, "samples do not fit intervals", F.col("parameter")))
     markers = _decoded(packets, "Marker", decoder).withColumnRenamed("content_type", "type")
     parts.append(rows(race.unreadable_triggers(markers), F.lit("Marker"), "unreadable trigger source"))
-    events = resolve_event(_decoded(packets, "Event", decoder), formats)
-    parts.append(rows(events.where(F.col("event_identifier").isNull()), F.lit("Event"), "unknown event format"))
+    if formats is not None:
+        events = resolve_event(_decoded(packets, "Event", decoder), formats)
+        parts.append(rows(events.where(F.col("event_identifier").isNull()), F.lit("Event"), "unknown event format"))
+        # A name that stands for no id needs a definition; those of the log itself count.
+        defined = event_definitions(_decoded(packets, "Configuration", decoder)).select(F.col("identifier").alias("event_identifier"))
+        unnumbered = undefinable_events(events.where(F.col("event_identifier").isNotNull()).withColumn("identifier", F.col("event_identifier")))
+        unnumbered = unnumbered.join(defined.distinct(), "event_identifier", "left_anti")
+        parts.append(rows(unnumbered, F.lit("Event"), "event without a definition or id", F.col("event_identifier")))
     errors = race.reject_errors(_decoded(packets, "Error", decoder))
     parts.append(rows(errors, F.lit("Error"), "no channel for status and type"))
     return reduce(DataFrame.unionByName, parts)
@@ -122,33 +143,47 @@ def sample_report(samples: DataFrame) -> DataFrame:
     )
 
 
-def time_records_of(packets: DataFrame, decoder: Decoder | None = None) -> DataFrame:
-    """Times that stretch a session's range: ``session_key, kind, day_ns``.
+# Packet types that stretch a session's range, and the kinds they are recorded as.
+_RANGE_KINDS = {
+    "PeriodicData": "Periodic", "RowData": "Row", "SynchroData": "Synchro", "RawCANData": "CAN",
+    "CoverageCursorInfo": "Coverage",
+}
 
-    Only what is recorded counts: a fixed-rate or variable-rate block with its start, unless its
-    interval is 0 or it has no list of numbers, and a row block with its rows of numbers.
-    """
-    envelope = packets.select("session_key", "type", "content")
 
-    def times(packet_type: str, kind: str, *at: Column, where: Column = F.lit(True)) -> DataFrame:
-        return pk.decode_content(envelope, packet_type, decoder=decoder).where(where).select(
-            "session_key", F.lit(kind).alias("kind"), F.explode(F.array(*at)).alias("ts_ns")
-        )
+def _range_times(kind: str, block: Column) -> Column:
+    """Times of a decoded packet that count for its session's range; null or empty if none does."""
 
     def numeric(samples: Column) -> Column:
         return sample_kind(samples).isin("double", "int", "bool")
 
-    block = F.exists("columns", numeric)
-    rows = F.filter(F.arrays_zip("timestamps", "rows"), lambda r: numeric(r["rows"]))["timestamps"]
-    parts = [
-        times("PeriodicData", "Periodic", F.col("start_ns"), where=block & (F.col("interval_ns") != 0)),
-        times("RowData", "Row", F.array_min(rows), F.array_max(rows), where=F.exists("rows", numeric)),
-        times("SynchroData", "Synchro", F.col("start_ns"), where=block),
-        times("RawCANData", "CAN", F.col("ts_ns")),
-        times("CoverageCursorInfo", "Coverage", F.col("ts_ns")),
-    ]
-    return reduce(DataFrame.unionByName, parts).select(
-        "session_key", "kind", day_time("ts_ns").alias("day_ns")
+    if kind == "RowData":
+        rows = F.filter(F.arrays_zip(block["timestamps"].alias("at"), block["rows"].alias("row")), lambda r: numeric(r["row"]))
+        return F.when(F.exists(block["rows"], numeric), F.array(F.array_min(rows["at"]), F.array_max(rows["at"])))
+    if kind in ("RawCANData", "CoverageCursorInfo"):
+        return F.array(block["ts_ns"])
+    counts = F.exists(block["columns"], numeric)
+    if kind == "PeriodicData":
+        counts = counts & (block["interval_ns"] != 0)
+    return F.when(counts, F.array(block["start_ns"]))
+
+
+def time_records_of(packets: DataFrame, decoder: Decoder | None = None) -> DataFrame:
+    """Times that stretch a session's range: ``session_key, kind, day_ns``.
+
+    Only what is recorded counts: a fixed-rate or variable-rate block with its start, unless its
+    interval is 0 or it has no list of numbers, and a row block with its rows of numbers. The log is
+    scanned once and each content parsed once, by the schema of its own type.
+    """
+    kind = F.col("type")
+    times, name = F.lit(None).cast("array<bigint>"), F.lit(None).cast("string")
+    for packet_type, recorded in _RANGE_KINDS.items():
+        found = pk.decoded_value(F.col("content"), packet_type, partial(_range_times, packet_type), decoder)
+        times = F.when(kind == packet_type, found).otherwise(times)
+        name = F.when(kind == packet_type, recorded).otherwise(name)
+    return (
+        packets.where(kind.isin(*_RANGE_KINDS))
+        .select("session_key", name.alias("kind"), F.explode(times).alias("ts_ns"))
+        .select("session_key", "kind", day_time("ts_ns").alias("day_ns"))
     )
 
 
@@ -192,7 +227,7 @@ def record_session_tables(packets: DataFrame, formats: DataFrame, decoder: Decod
         return _decoded(packets, kind, decoder)
 
     markers = decoded("Marker").withColumnRenamed("content_type", "type")
-    config = dedupe_config(decoded("Configuration"))
+    config = dedupe_config(decoded("Configuration"), by=["session_key"])
     sessions_log = session_log_of(packets, decoder)
     return {
         "samples": samples_of(packets, formats, decoder),

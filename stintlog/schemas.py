@@ -151,3 +151,6 @@ PACKETS = record(
     is_essential=BOOL,
     content=TEXT,
 )
+
+# A stored packet: where and when it arrived as well, as far as its source says.
+LOG = T.StructType([*PACKETS, *record(partition=INT, submit_time=T.TimestampType())])

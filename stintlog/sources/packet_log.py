@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from stintlog.operators.packets import (
     ESSENTIALS, LATEST, MAIN_STREAM, ReadSpec, match_session, select_packets,
 )
-from stintlog.schemas import BOOL, PACKETS, TEXT, record
+from stintlog.schemas import BOOL, LOG, TEXT, record
 
 # Reading one kind, stream or source then reads only its folders.
 PARTITIONS = ["data_source", "stream", "type"]
@@ -30,10 +30,12 @@ def read_packets(
 ) -> DataFrame:
     """Packets of a log written by ``write_packets``, filtered by ``spec``.
 
+    ``partition`` and ``submit_time`` are null where what was written had none.
+
     ``files_per_trigger`` limits a micro-batch of the streaming form. There ``LATEST`` means what
     is appended from now on: the offsets that the log has reached are looked up first.
     """
-    reader = (spark.readStream if streaming else spark.read).schema(PACKETS)
+    reader = (spark.readStream if streaming else spark.read).schema(LOG)
     if streaming:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger or FILES_PER_TRIGGER)
         spec = _from_now_on(spark, path, spec)
@@ -49,7 +51,7 @@ def _from_now_on(spark: SparkSession, path: str, spec: ReadSpec) -> ReadSpec:
     if LATEST not in (*spec.offsets, spec.main_offset):
         return spec
     log = select_packets(
-        spark.read.schema(PACKETS).parquet(path).withColumn("stream", F.coalesce("stream", F.lit(MAIN_STREAM))),
+        spark.read.schema(LOG).parquet(path).withColumn("stream", F.coalesce("stream", F.lit(MAIN_STREAM))),
         ReadSpec(spec.data_source, spec.session_key),
     )
     reached = {r["stream"]: r["last"] + 1 for r in log.groupBy("stream").agg(F.max("pkt_offset").alias("last")).collect()}
@@ -126,11 +128,12 @@ def kafka_packets(
     value = F.from_json(F.col("value").cast("string"), KAFKA_VALUE)
     return records.select(
         F.col("offset").alias("pkt_offset"),
+        F.col("partition").cast("int").alias("partition"),
         F.lit(data_source).alias("data_source"),
         stream.alias("stream"),
         F.col("timestamp").alias("submit_time"),
         value.alias("v"),
-    ).select("pkt_offset", "data_source", "stream", "submit_time", "v.*")
+    ).select("pkt_offset", "partition", "data_source", "stream", "submit_time", "v.*")
 
 
 def read_kafka(
@@ -159,7 +162,7 @@ def read_kafka(
 
 
 def write_packets(packets: DataFrame, path: str, mode: str = "append") -> None:
-    """Append packets to a log, partitioned so that reads prune.
+    """Append packets to a log, partitioned so that reads prune. Partition and submit time are kept.
 
     The rebalance makes few large files per folder and splits an oversized one over tasks.
     """

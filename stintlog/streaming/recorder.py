@@ -1,23 +1,20 @@
-"""Streams: the batch operators on micro-batches, and the ones that need state."""
+"""Streams: the batch operators on micro-batches, and waiting for what is announced later; see ``stateful``."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Mapping
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from stintlog.functions.names import full_identifier
 from stintlog.functions.times import NS_PER_SECOND, int_div, to_timestamp
-from stintlog.operators.laps import (
-    GUARD_NS, IN_LAP, MAIN_TRIGGER, OUT_LAP, PIT_LANE, PIT_TRIGGER,
-)
 from stintlog.operators.packets import ReadSpec
-from stintlog.plans.recording import record_session_tables, samples_of
-from stintlog.schemas import BOOL, INT, LONG, TEXT, record
+from stintlog.plans.recording import LISTS, record_session_tables, rejects_of, samples_of
+from stintlog.schemas import LONG, TEXT, record
 from stintlog.sources.packet_log import read_packets
 from stintlog.sources.session_tables import write_batch
+from stintlog.streaming.stateful import GIVEN_UP, REVISION, hold_rows
 
 # Keys of a stream join that one (session, parameter) is spread over.
 SALTS = 16
@@ -61,9 +58,21 @@ def stream_tables(
 
 
 def stream_samples(
-    packets: DataFrame, formats: DataFrame, path: str, checkpoint: str, every: str | None = None
+    packets: DataFrame,
+    formats: DataFrame,
+    path: str,
+    checkpoint: str,
+    every: str | None = None,
+    definitions: DataFrame | None = None,
+    **waiting: str | int,
 ) -> StreamingQuery:
-    """Continuous packets to the samples table. Batch size is limited at the source."""
+    """Continuous packets to the samples table. Batch size is limited at the source.
+
+    With ``formats`` as a stream, blocks wait for their format (and for ``definitions``, where
+    given; see ``live_blocks``), and a table ``rejects`` has what no sample was made of.
+    """
+    if formats.isStreaming:
+        return stream_tables(live_blocks(packets, formats, definitions, **waiting), block_tables, path, checkpoint, every)
     return stream_tables(
         packets, lambda batch: {"samples": samples_of(batch, formats)}, path, checkpoint, every
     )
@@ -134,71 +143,88 @@ def hold_and_replay(
     return s.join(d, condition, how).select(*[f"s.{c}" for c in samples.columns], "d.defined")
 
 
-_PREVIOUS = record(
-    pkt_offset=LONG, day_ns=LONG, trigger_source=INT, label=TEXT, lap_number=INT, lap_name=TEXT
-)
-_REVISION = T.StructType(
-    [T.StructField("session_key", TEXT), *_PREVIOUS, *record(counts=BOOL, revision=INT)]
-)
-_LAP = ["pkt_offset", "day_ns", "trigger_source", "label", "lap_number"]
-
-
-def _named(previous: tuple | None, trigger: int, label: str) -> str:
-    if previous is None:
-        return OUT_LAP
-    if trigger == PIT_TRIGGER:
-        return PIT_LANE
-    return OUT_LAP if trigger == MAIN_TRIGGER and previous[5] == PIT_LANE else label
-
-
-def _renamed(previous: tuple, next_trigger: int) -> str:
-    if next_trigger == PIT_TRIGGER and previous[2] == MAIN_TRIGGER:
-        return IN_LAP
-    if next_trigger == MAIN_TRIGGER and previous[5] == PIT_LANE:
-        return OUT_LAP
-    return previous[5]
-
-
-def _fold_laps(guard_ns: int):
-    def fold(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        previous = tuple(state.get) if state.exists else None
-        out = []
-        laps = pd.concat([batch[_LAP] for batch in batches]).sort_values("pkt_offset")
-        for lap in laps.itertuples(index=False, name=None):
-            if previous is not None and lap[1] - previous[1] < guard_ns:
-                continue
-            if previous is not None:
-                name = _renamed(previous, lap[2])
-                counts = name not in (OUT_LAP, IN_LAP, PIT_LANE)
-                out.append((key[0], *previous[:5], name, counts, 1))
-            name = _named(previous, lap[2], lap[3])
-            out.append((key[0], *lap, name, False, 0))
-            previous = (*lap, name)
-        state.update(previous)
-        yield pd.DataFrame(out, columns=_REVISION.names)
-
-    return fold
-
-
-def stream_laps(triggers: DataFrame, guard_ns: int = GUARD_NS) -> DataFrame:
-    """Named laps of a stream of lap triggers, as revisions; the state is the previous lap.
-
-    A lap appears when it is accepted (revision 0) and again, with its final name, when its
-    successor is (revision 1). ``latest_laps`` keeps the last of each. A micro-batch is
-    ordered by offset; limit its size at the source.
+def _named_list(blocks: DataFrame) -> Column:
+    """Full names of a block's parameters."""
+    return F.transform("params", full_identifier)
+
+
+def _above_watermark(df: DataFrame, condition: Column) -> DataFrame:
+    """A filter that stays above the watermark, so that time passes with every row of the stream.
+
+    A filter that does not mention the time would be pushed below it, and a branch in which nothing
+    passes would hold up all the others.
+    """
+    return df.where(F.when(F.col("submit_time").isNotNull(), condition).otherwise(F.lit(False)))
+
+
+def live_blocks(
+    packets: DataFrame,
+    formats: DataFrame,
+    definitions: DataFrame | None = None,
+    wait: str = "1 hour",
+    lateness: str = "1 minute",
+    idle: str = "1 day",
+    salts: int = SALTS,
+) -> DataFrame:
+    """Sample blocks of a stream that wait as a whole for their format, then for their definitions.
+
+    ``packets`` as ``read_packets`` streams them, with ``submit_time``. ``formats`` is a stream of
+    ``data_source, format_id, kind, params, submit_time`` and ``definitions`` one of ``session_key,
+    parameter, submit_time`` (none: blocks need no definition). A block comes out once, undecoded,
+    with ``known_params`` and ``reason``: null, or why it was given up after ``wait`` (``item`` says
+    what was missing). Blocks with an inline list wait for no format, and unreadable ones for nothing.
     """
-    laps = triggers.select(
-        "session_key",
-        *[F.col(c).cast(_PREVIOUS[c].dataType).alias(c) for c in _LAP],
+    head = F.from_json("content", record(format_id=LONG, params=T.ArrayType(TEXT)))
+    timed = packets.withWatermark("submit_time", lateness).withColumn("_head", head)
+    is_block = F.col("type").isin(*LISTS)
+    by_id = is_block & F.coalesce(F.col("_head.format_id") != 0, F.lit(False))
+    envelope = ["session_key", "data_source", "pkt_offset", "type", "content"]
+    rows = _above_watermark(timed, by_id).select(
+        *envelope, "submit_time", F.col("_head.format_id").alias("format_id"), F.array(F.col("_head.format_id").cast("string")).alias("needs")
     )
-    return laps.groupBy("session_key").applyInPandasWithState(
-        _fold_laps(guard_ns), _REVISION, _PREVIOUS, "append", GroupStateTimeout.NoTimeout
+    lists = formats.withWatermark("submit_time", lateness)
+    lists = _above_watermark(lists, (F.col("kind") == "parameter") & (F.col("format_id") != 0)).select(
+        "data_source", "format_id", "submit_time", F.col("format_id").cast("string").alias("name"), F.to_json("params").alias("fact")
     )
+    found = hold_rows(rows, lists, ["data_source", "format_id"], wait, idle, salts)
+    given_up = F.col("status") == GIVEN_UP
+    found = found.select(
+        *envelope,
+        F.col("settled_at").alias("submit_time"),
+        F.from_json(F.get("facts", F.lit(0)), T.ArrayType(TEXT)).alias("params"),
+        F.when(given_up, "no parameter list").alias("reason"),
+        F.when(given_up, F.col("format_id").cast("string")).alias("item"),
+    )
+    nothing = F.lit(None).cast("string")
+    # Inline lists wait for no format, so they pass by its state.
+    inline = _above_watermark(timed, is_block & ~by_id).select(
+        *envelope, "submit_time", F.col("_head.params").alias("params"), nothing.alias("reason"), nothing.alias("item")
+    )
+    resolved = found.unionByName(inline)
+    if definitions is not None:
+        names = F.coalesce(F.when(F.col("reason").isNull(), _named_list(resolved)), F.array().cast("array<string>"))
+        defined = definitions.withWatermark("submit_time", lateness).select(
+            "session_key", "submit_time", full_identifier(F.col("parameter")).alias("name"), F.lit("defined").alias("fact")
+        )
+        settled = hold_rows(
+            resolved.withColumn("needs", names), defined, ["session_key"], wait, idle, salts
+        )
+        undefined = F.filter(_named_list(settled), lambda _, i: F.get("facts", i).isNull())
+        resolved = settled.withColumn("reason", F.when(given_up, "parameter not defined").otherwise(F.col("reason")))
+        resolved = resolved.withColumn("item", F.when(given_up, F.array_join(undefined, ",")).otherwise(F.col("item")))
+    return resolved.select("session_key", "pkt_offset", "type", "content", F.col("params").alias("known_params"), "reason", "item")
+
+
+def block_tables(blocks: DataFrame) -> dict[str, DataFrame]:
+    """``samples`` and ``rejects`` of ``live_blocks``: together they account for every list of every block."""
+    known = blocks.where(F.col("reason").isNull()).drop("reason", "item")
+    given_up = blocks.where(F.col("reason").isNotNull()).select("session_key", "pkt_offset", "type", "item", "reason")
+    return {"samples": samples_of(known, None), "rejects": rejects_of(known, None).unionByName(given_up)}
 
 
 def latest_laps(revisions: DataFrame) -> DataFrame:
     """The last revision of each lap."""
-    rest = [c for c in _REVISION.names if c not in ("session_key", "pkt_offset")]
+    rest = [c for c in REVISION.names if c not in ("session_key", "pkt_offset")]
     return (
         revisions.groupBy("session_key", "pkt_offset")
         .agg(F.max_by(F.struct(*rest), "revision").alias("r"))
@@ -207,23 +233,47 @@ def latest_laps(revisions: DataFrame) -> DataFrame:
 
 
 def session_idle_close(packets: DataFrame, gap: str = "10 seconds") -> DataFrame:
-    """Bursts of a session's packets: a burst ends when nothing arrived for ``gap``.
+    """Bursts of a session's packets: a burst ends when nothing arrived for more than ``gap``.
 
-    For streams with a ``submit_time``; a burst comes out once the watermark passed its end.
-    Bursts are merged per task before the shuffle (see ``SQL_SETTINGS``).
+    For streams with ``type`` and ``submit_time``, such as a stored log; a burst comes out once the
+    watermark passed its end. ``stop_ns`` is the first EndOfSession in it: the session closes with
+    that burst (``close_times``). Bursts are merged per task before the shuffle (see
+    ``SQL_SETTINGS``).
     """
+    submit_ns = F.unix_micros("submit_time") * 1000
+    # A window's end is not in it: a packet exactly ``gap`` later still belongs to the burst.
     return (
         packets.withWatermark("submit_time", gap)
-        .groupBy("session_key", F.session_window("submit_time", gap).alias("burst"))
+        .groupBy("session_key", F.session_window("submit_time", f"{gap} 1 microsecond").alias("burst"))
         .agg(
             F.count(F.lit(1)).alias("n_packets"),
-            F.min("submit_ns").alias("first_ns"),
-            F.max("submit_ns").alias("last_ns"),
+            F.min(submit_ns).alias("first_ns"),
+            F.max(submit_ns).alias("last_ns"),
+            F.min(F.when(F.col("type") == "EndOfSession", submit_ns)).alias("stop_ns"),
         )
-        .select("session_key", "first_ns", "last_ns", "n_packets")
+        .select("session_key", "first_ns", "last_ns", "n_packets", "stop_ns")
     )
 
 
+def close_times(bursts: DataFrame, gap_ns: int = IDLE_NS) -> DataFrame:
+    """When each stopped session closes, from its stored bursts: ``gap_ns`` after the one with its first stop."""
+    return (
+        bursts.where(F.col("stop_ns").isNotNull())
+        .groupBy("session_key")
+        .agg(F.min("stop_ns").alias("stop_ns"), (F.min("last_ns") + gap_ns).alias("close_ns"))
+    )
+
+
+def dedupe_marker_stream(markers: DataFrame, lateness: str) -> DataFrame:
+    """A marker of the same time and label passes once per session, as the first that arrives.
+
+    ``markers`` is a stream with ``submit_time``. A marker is remembered until the watermark is
+    ``lateness`` past it, so repeats within that time are dropped, across micro-batches and
+    restarts, and the state does not grow with the stream.
+    """
+    return markers.withWatermark("submit_time", lateness).dropDuplicatesWithinWatermark(["session_key", "day_ns", "label"])
+
+
 def idle_bursts(packets: DataFrame, gap_ns: int) -> DataFrame:
     """The same bursts for a finished log, and whether a burst is the session's last.
 

@@ -9,7 +9,7 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from stintlog.operators import laps as lp
-from stintlog.streaming.recorder import _fold_laps
+from stintlog.streaming.stateful import LapFold
 
 S = 10**9
 LAP_SCHEMA = (
@@ -162,25 +162,17 @@ def test_classify_equals_sequential_rules(spark):
 
 
 def test_stream_fold_equals_sequential_rules():
-    """The state function names laps as the rules do, however the laps are cut into batches."""
-    class State:
-        exists, get = False, None
-
-        def update(self, value):
-            self.exists, self.get = True, value
-
+    """The fold names laps as the rules do, however the laps are cut into batches."""
     rng = random.Random(5)
     triggers = [(rng.choice([0, 0, 1, 2]), rng.choice([PIT, "A", "B"])) for _ in range(80)]
-    laps = pd.DataFrame(
-        [(i, i * 60 * S, t, label, i) for i, (t, label) in enumerate(triggers)],
-        columns=["pkt_offset", "day_ns", "trigger_source", "label", "lap_number"],
-    )
-    state, last = State(), {}
+    laps = [(i, i * 60 * S, t, label, i) for i, (t, label) in enumerate(triggers)]
+    previous, settled, last = None, 0, {}
     for start in range(0, 80, 7):
-        batch = laps.iloc[start : start + 7].sample(frac=1, random_state=1)
-        for out in _fold_laps(10 * S)(("A",), iter([batch[:3], batch[3:]]), state):
-            for row in out.itertuples():
-                last[row.pkt_offset] = (row.lap_name, row.counts)
+        fold = LapFold(10 * S, previous, settled, None)
+        for lap in laps[start : start + 7]:
+            fold.add(lap)
+        previous, settled = fold.previous, fold.settled
+        last.update({row[0]: (row[5], row[6]) for row in fold.rows})
     assert [last[i] for i in range(80)] == sequential(triggers)
 
 

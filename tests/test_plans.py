@@ -7,8 +7,8 @@ import re
 import pytest
 
 import __spark_entry__ as entry
-from checks.fixtures import formats, frame, packet_log, periodic_blocks, row_blocks, synchro_blocks, typed_row_blocks
-from stintlog.operators import formats as fm, samples as sm
+from checks.fixtures import formats, frame, on_disk, packet_log, periodic_blocks, row_blocks, synchro_blocks, typed_row_blocks
+from stintlog.operators import formats as fm, samples as sm, sessions
 from stintlog.plans import recording
 
 SF = "/root/testdata/sf0.001"
@@ -49,10 +49,26 @@ def test_small_lookups_are_broadcast_by_measured_size(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def scans(text):
+    return re.findall(r"ReadSchema: struct<([^>]*)>", text)
+
+
 def test_filters_and_columns_reach_the_scan(spark):
     text = plan(entry.queries()["match_runs"](spark, SF))
     assert "PushedFilters: [" in text
+    text = plan(entry.queries()["day_time"](spark, SF))
+    assert "value" not in scans(text)[0] and "props" not in scans(text)[0]
+
+
+def test_ranges_scan_the_log_once_and_parse_once(spark):
+    """The query makes its content from all columns of ``events``; of a stored log few are read."""
+    log = on_disk(packet_log(frame(spark, SF, "packets")))
+    text = plan(sessions.session_time_range(recording.time_records_of(log)))
+    assert len(scans(text)) == 1
+    # The type is a folder: it prunes, and is not read. Offsets are, since a read starts at one.
+    assert re.findall(r"(\w+):", scans(text)[0]) == ["pkt_offset", "session_key", "content"]
+    assert re.search(r"PartitionFilters: \[[^\]]*type#\d+ IN", text)
+    kinds = re.findall(r"from_json\(", text)
+    assert len(kinds) == 5, "one parse for each type, of which a row takes one"
     text = plan(entry.queries()["session_time_range"](spark, SF))
-    schema = re.search(r"ReadSchema: struct<([^>]*)>", text).group(1)
-    assert "value" not in schema and "props" not in schema
-
+    assert len(scans(text)) == 1

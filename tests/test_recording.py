@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from checks.blocks import DAY
 from checks.fixtures import faulty_log, formats, frame, on_disk, packet_log
-from stintlog.operators import packets as pk, sessions as ss
+from stintlog.operators import packets as pk, race, sessions as ss
 from stintlog.plans import recording
 from stintlog.schemas import PACKETS
 
@@ -158,3 +158,28 @@ def test_range_of_decoded_log_equals_range_of_blocks(spark):
         .agg(F.min(F.col("t") % DAY).alias("start_ns"), F.max(F.col("t") % DAY).alias("end_ns"))
     )
     assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+def test_events_that_stand_for_no_id(spark):
+    event = {"format_id": 0, "ts_ns": S, "raw_values": [1.0]}
+    defined = {"config_id": "c", "event_definitions": [{"identifier": "Pit:App", "definition_id": 7, "application_name": "App"}]}
+    log = packets(
+        spark, ("A", "Configuration", defined), *[("A", "Event", event | {"event_identifier": e}) for e in ("1F:App", "Lap:App", "Pit:App")]
+    )
+    assert [(r.pkt_offset, r.item, r.reason) for r in recording.rejects_of(log, formats(spark)).collect()] == [
+        (2, "Lap:App", "event without a definition or id")
+    ]
+
+
+def test_streams_that_share_offsets(spark):
+    """Offsets count per stream: equal ones of two streams double no marker and no event."""
+    markers = spark.createDataFrame(
+        [(1, "A", 5, "x", "s1"), (1, "A", 5, "x", "s2"), (2, "A", 5, "x", "s1"), (1, "A", 5, None, "s1"), (1, "B", 5, "x", "s2")],
+        "pkt_offset bigint, session_key string, day_ns bigint, label string, stream string",
+    )
+    kept = race.dedupe_markers(markers)
+    assert kept.columns == markers.columns
+    assert sorted(map(tuple, kept.collect()), key=str) == [(1, "A", 5, "x", "s1"), (1, "A", 5, None, "s1"), (1, "B", 5, "x", "s2")]
+    happened = spark.createDataFrame([(1, "A", S, "1F:App", [1.0])], "pkt_offset bigint, session_key string, ts_ns bigint, event_identifier string, raw_values array<double>")
+    definitions = spark.createDataFrame([(1, "1F:App", 31, "App"), (1, "1F:App", 31, "App"), (0, "1F:App", 30, "Old")], "pkt_offset bigint, identifier string, definition_id bigint, application_name string")
+    assert [(r.definition_id, r.application_name) for r in race.events(happened, definitions).collect()] == [(31, "App")]

@@ -9,10 +9,8 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import Window, functions as F
 
-from checks.catalogue import records
 from checks.fixtures import formats, frame, packet_log
-from checks.racing import triggers
-from stintlog.operators import laps as lp, sessions as ss
+from stintlog.operators import sessions as ss
 from stintlog.plans import recording
 from stintlog.session import shared_dir
 from stintlog.sources import packet_log as log, session_tables
@@ -74,15 +72,6 @@ def test_samples_in_any_file_order(spark, tmp_path):
         assert same(want, session_tables.load_table(spark, path, "samples"))
 
 
-def test_laps_over_micro_batches(spark, tmp_path):
-    laps = triggers(spark, "/root/testdata/sf0.01")
-    source = feed(spark, tmp_path / "in", laps, 6)
-    revisions = run(recorder.stream_laps(source.stream()), spark, "laps")
-    want = lp.classify_laps(lp.lap_guard(laps)).select("session_key", "pkt_offset", "lap_name", "counts")
-    assert same(want, recorder.latest_laps(revisions))
-    assert revisions.groupBy("session_key", "pkt_offset").count().where("count > 2").isEmpty()
-
-
 SAMPLE = "pkt_offset bigint, session_key string, parameter string, ts_ns bigint"
 DEFINITION = "session_key string, parameter string, defined_ns bigint"
 SECOND = 10**9
@@ -136,26 +125,30 @@ def test_samples_given_up_after_the_time_limit(spark, tmp_path):
 
 
 def test_running_time_range(spark, tmp_path):
-    packets = frame(spark, SF, "packets")
+    packets = packet_log(frame(spark, SF, "packets"))
     source = feed(spark, tmp_path / "in", packets, 4, shuffled=True)
-    updates = run(ss.session_time_range(records(source.stream())), spark, "ranges", mode="update")
+    updates = run(ss.session_time_range(recording.time_records_of(source.stream())), spark, "ranges", mode="update")
     folded = updates.groupBy("session_key").agg(F.min("start_ns").alias("start_ns"), F.max("end_ns").alias("end_ns"))
-    assert same(ss.session_time_range(records(packets)), folded)
+    assert same(ss.session_time_range(recording.time_records_of(packets)), folded)
 
 
 def test_idle_bursts(spark, tmp_path):
     hour = 3600 * SECOND
     packets = frame(spark, SF, "packets").select(
-        "pkt_offset", "session_key", F.col("ts_ns").alias("submit_ns"), F.timestamp_micros(F.expr("ts_ns div 1000")).alias("submit_time")
-    )
+        "pkt_offset", "session_key", F.expr("if(pkt_offset % 50 = 0, 'EndOfSession', type)").alias("type"),
+        F.col("ts_ns").alias("submit_ns"), F.timestamp_micros(F.expr("ts_ns div 1000")).alias("submit_time"),
+    )
     end = packets.agg(F.max("submit_ns")).first()[0] + 1000 * hour
     source = feed(spark, tmp_path / "in", packets, 4)
     for step in range(2):  # packets of a later session let the last bursts close
-        late = spark.createDataFrame([(10**9 + step, "later", end + step * 100 * hour)], "pkt_offset bigint, session_key string, submit_ns bigint")
+        late = spark.createDataFrame(
+            [(10**9 + step, "later", "RowData", end + step * 100 * hour)], "pkt_offset bigint, session_key string, type string, submit_ns bigint"
+        )
         source.add(late.withColumn("submit_time", F.timestamp_micros(F.expr("submit_ns div 1000"))))
     closed = run(recorder.session_idle_close(source.stream(), "6 hours"), spark, "bursts").where("session_key <> 'later'")
     want = recorder.idle_bursts(packets, 6 * hour)
     assert same(want.drop("is_last"), closed)
+    assert same(recorder.session_close_times(packets, 6 * hour), recorder.close_times(closed, 6 * hour))
     assert want.where("is_last").count() == packets.select("session_key").distinct().count()
 
 

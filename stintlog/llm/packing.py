@@ -26,8 +26,11 @@ from stintlog.llm.common import documents, per_worker, written
 # what is lost is about one window a group.
 PIECES_PER_GROUP = 1_024
 
-# Words, and pieces of words, remembered by a Python worker; a full memory is emptied.
-REMEMBERED = 600_000
+# Bytes of words and of their ids, with what Python adds to each, that a Python worker remembers; a
+# full memory is emptied. Longer words are not remembered.
+REMEMBERED, EACH, LONGEST = 256 << 20, 150, 256
+# Characters of the texts whose new words are looked up together.
+TOGETHER = 1 << 20
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 PACKED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -58,46 +61,78 @@ class WordEncoder:
         self._words = re.compile(r"[^\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
         # Letters whose lower case and composed form are the same in every version of Unicode.
         self._plain = re.compile(r"[\x21-\x7e\xa1-\u012f\u0131-\u017e]+")
+        # Whether a word of letters only is one piece, so that it need not be cut.
+        self._letters = all(self._pieces.findall(w) == [w] for w in ("a", "zoo", "éß", "abcdefghijklmnopqrstuvwxyz" * 4))
         self._of_word: dict[str, bytes] = {}
-        self._of_piece: dict[str, bytes] = {}
+        self._held = 0
 
     def _whole(self, text: str) -> bytes:
         return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def _learn(self, words: list[str]) -> dict[str, bytes]:
-        """The ids of new words."""
-        known = self._of_piece
-        cut = {w: self._pieces.findall(w.lower()) for w in words if self._plain.fullmatch(w)}
-        new = list({p for pieces in cut.values() for p in pieces if p not in known})
+    def _cut(self, word: str) -> list[str] | None:
+        """The pieces of a word; None where only the library knows them."""
+        if word.isalpha() and self._letters:
+            return [word.lower()] if word.isascii() or self._plain.fullmatch(word) else None
+        return self._pieces.findall(word.lower()) if self._plain.fullmatch(word) else None
+
+    def _learn(self, words: set[str]) -> None:
+        """Remember the ids of new words. A piece is a word too: it has the same ids on its own."""
+        known = self._of_word
+        # Most new words are one piece as they stand.
+        new = {w for w in words if w.islower() and w.isascii() and w.isalpha()} if self._letters else set()
+        cut = {w: self._cut(w) for w in words.difference(new)}
+        new.update(p for pieces in cut.values() if pieces for p in pieces if p not in known)
         if new:
-            if len(known) > REMEMBERED:
-                known.clear()
-                new = list({p for pieces in cut.values() for p in pieces})
-            ids = np.array(self._tokenizer.encode(" ".join(new), add_special_tokens=False).ids, dtype="<u4")
+            listed = list(new)
+            # The library's call without places in the text, which takes a list.
+            ids = self._tokenizer.encode_batch_fast([" ".join(listed)], add_special_tokens=False)[0].ids
+            ids = np.array(ids, dtype="<u4")
             ends = (4 * (np.flatnonzero(self._ends[ids]) + 1)).tolist()
             data = ids.tobytes()
-            assert len(ends) == len(new), "one end of word for each piece"
-            known.update((p, data[a:b]) for p, a, b in zip(new, [0, *ends], ends))
-        return {w: b"".join([known[p] for p in cut[w]]) if w in cut else self._whole(w) for w in words}
+            assert len(ends) == len(listed), "one end of word for each piece"
+            known.update((p, data[a:b]) for p, a, b in zip(listed, [0, *ends], ends))
+            self._held += sum(map(len, listed)) + len(data) + EACH * len(listed)
+        for w, pieces in cut.items():
+            if w not in known:
+                known[w] = self._whole(w) if pieces is None else known[pieces[0]] if len(pieces) == 1 else b"".join([known[p] for p in pieces])
+                self._held += len(w) + len(known[w]) + EACH
+
+    def _words_of(self, text: str) -> list[str] | None:
+        """The words of a text; None for one that the library takes as a whole."""
+        if any(s in text for s in self._special):
+            return None
+        # str.split takes four control characters for white space that the vocabulary does not.
+        odd = "\x1c" in text or "\x1d" in text or "\x1e" in text or "\x1f" in text
+        return self._words.findall(text) if odd else text.split()
+
+    def _together(self, texts: list[str]) -> Iterator[bytes]:
+        seen = self._of_word
+        if self._held > REMEMBERED:
+            seen.clear()
+            self._held = 0
+        words = [self._words_of(t) for t in texts]
+        new: set[str] = set()
+        for ws in words:
+            if ws:
+                new |= set(ws).difference(seen)
+        if new:
+            self._learn(new)
+        for text, ws in zip(texts, words):
+            yield self._whole(text) if ws is None else b"".join(map(seen.__getitem__, ws))
+        for w in [w for w in seen.keys() & new if len(w) > LONGEST] if any(len(w) > LONGEST for w in new) else ():
+            self._held -= len(w) + len(seen.pop(w)) + EACH
 
     def ids(self, texts: list[str]) -> Iterator[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        seen = self._of_word
+        part: list[str] = []
+        size = 0
         for text in texts:
-            if any(s in text for s in self._special):
-                yield self._whole(text)
-                continue
-            # str.split takes four control characters for white space that the vocabulary does not.
-            odd = "\x1c" in text or "\x1d" in text or "\x1e" in text or "\x1f" in text
-            words = self._words.findall(text) if odd else text.split()
-            found = [*map(seen.get, words)]
-            if None in found:
-                made = self._learn(list({w for w, f in zip(words, found) if f is None}))
-                if len(seen) > REMEMBERED:
-                    seen.clear()
-                seen.update(made)
-                found = [made[w] if f is None else f for w, f in zip(words, found)]
-            yield b"".join(found)
+            part.append(text)
+            size += len(text)
+            if size >= TOGETHER:
+                yield from self._together(part)
+                part, size = [], 0
+        yield from self._together(part)
 
 
 def _encoder(spark: SparkSession, vocabulary_path: str):

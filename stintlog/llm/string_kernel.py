@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import cache
 from itertools import combinations
 
 import numpy as np
@@ -68,6 +69,21 @@ def kernel(s: np.ndarray, t: np.ndarray) -> np.ndarray:
     return out
 
 
+@cache
+def _choices(n: int) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray]:
+    """How choices of i + 1 of ``n`` places follow from those of i: which of these, and the further
+    place; and the decay of each choice of ``ORDER`` places."""
+    steps, before = [], [(i,) for i in range(n)]
+    for size in range(2, ORDER + 1):
+        now = [*combinations(range(n), size)]
+        number = {c: i for i, c in enumerate(before)}
+        steps.append(
+            (np.array([number[c[:-1]] for c in now], dtype=np.int64), np.array([c[-1] for c in now], dtype=np.int64))
+        )
+        before = now
+    return steps, np.array([DECAY ** (c[-1] - c[0] + 1.0) for c in before])
+
+
 class LinearScore:
     """sum of beta * normalised kernel with each landmark, as weights of subsequences.
 
@@ -84,41 +100,66 @@ class LinearScore:
             keys, decay = self._subsequences(row[None, : int((row != 0).sum())])
             for key, d in zip(keys[0].tolist(), decay.tolist()):
                 weights[key] = weights.get(key, 0.0) + share * d
-        self.keys = np.array(sorted(weights) or [0], dtype=np.uint64)
-        self.weights = np.array([weights.get(k, 0.0) for k in self.keys.tolist()])
+        self._table(weights)
+
+    def _table(self, weights: dict[int, float]) -> None:
+        """Weights by the first bits of a subsequence's key. The few keys whose first bits another has
+        already taken are kept sorted beside the table."""
+        keys = np.array(sorted(weights) or [0], dtype=np.uint64)
+        values = np.array([weights.get(k, 0.0) for k in keys.tolist()])
+        slots = keys >> _REST
+        first = np.r_[True, slots[1:] != slots[:-1]]
+        self.slot_key, self.slot_weight = np.zeros(1 << 20, dtype=np.uint64), np.zeros(1 << 20)
+        self.slot_key[slots[first]], self.slot_weight[slots[first]] = keys[first], values[first]
         # Most subsequences of a text are in no landmark: their first bits already tell.
-        self.first_bits = np.zeros(1 << 20, dtype=bool)
-        self.first_bits[self.keys >> _REST] = True
+        self.taken, self.shared = np.zeros(1 << 20, dtype=bool), np.zeros(1 << 20, dtype=bool)
+        self.taken[slots], self.shared[slots[~first]] = True, True
+        self.more_keys, self.more_weights = keys[~first], values[~first]
+
+    def _weights(self, keys: np.ndarray, slots: np.ndarray) -> np.ndarray:
+        out = np.where(self.slot_key[slots] == keys, self.slot_weight[slots], 0.0)
+        if len(self.more_keys):
+            also = np.flatnonzero(self.shared[slots])
+            place = np.minimum(np.searchsorted(self.more_keys, keys[also]), len(self.more_keys) - 1)
+            out[also] += np.where(self.more_keys[place] == keys[also], self.more_weights[place], 0.0)
+        return out
 
     @staticmethod
     def _subsequences(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at = np.array([*combinations(range(rows.shape[1]), ORDER)], dtype=np.int64).reshape(-1, ORDER)
+        """A key for every subsequence of each row, and its decay: a column for each choice of places."""
+        steps, decay = _choices(rows.shape[1])
         wide = rows.astype(np.uint64)
-        keys = sum(wide[:, at[:, i]] * _PLACES[i] for i in range(ORDER))
-        return keys, DECAY ** (at[:, -1] - at[:, 0] + 1.0)
+        keys = wide * _PLACES[0]
+        for i, (shorter, last) in enumerate(steps, start=1):
+            # A subsequence is a shorter one with a further letter.
+            keys = keys[:, shorter] + (wide * _PLACES[i])[:, last]
+        return keys, decay
 
     def __call__(self, units: list[str]) -> np.ndarray:
         """The score of each unit, the largest of its windows."""
-        pieces = [(i, w) for i, u in enumerate(units) for w in windows(u)]
-        out = np.full(len(units), self.bias)
-        by_length: dict[int, list[tuple[int, str]]] = {}
-        for i, w in pieces:
-            by_length.setdefault(len(w), []).append((i, w))
-        best = np.full(len(units), -np.inf)
+        parts = [windows(u) for u in units]
+        scores = self.of_windows([w for part in parts for w in part])
+        first = np.cumsum([0, *map(len, parts)])[:-1]
+        return np.maximum.reduceat(scores, first) if units else scores
+
+    def of_windows(self, marked: list[str]) -> np.ndarray:
+        """The score of each window as it stands; those without a subsequence have the bias."""
+        out = np.full(len(marked), self.bias)
+        by_length: dict[int, list[int]] = {}
+        for i, w in enumerate(marked):
+            by_length.setdefault(len(w), []).append(i)
         for length, same in by_length.items():
             if length < ORDER:
-                np.maximum.at(best, [i for i, _ in same], 0.0)
                 continue
-            step = max(1, 400_000 // len(range(length)) ** 3)
+            step = max(1, 400_000 // length**3)
             for k in range(0, len(same), step):
                 part = same[k : k + step]
-                rows = codes([w for _, w in part])
+                rows = codes([marked[i] for i in part])
                 keys, decay = self._subsequences(rows)
-                row, at = np.nonzero(self.first_bits[keys >> _REST])
-                found = keys[row, at]
-                place = np.minimum(np.searchsorted(self.keys, found), len(self.keys) - 1)
-                hit = np.where(self.keys[place] == found, self.weights[place], 0.0)
+                slots = keys >> _REST
+                row, at = np.nonzero(self.taken[slots])
+                hit = self._weights(keys[row, at], slots[row, at])
                 # A subsequence spans its letters in the unit as in the landmark.
                 total = np.bincount(row, weights=hit * decay[at], minlength=len(rows))
-                np.maximum.at(best, [i for i, _ in part], total / norms(rows))
-        return out + np.where(np.isfinite(best), best, 0.0)
+                out[part] += total / norms(rows)
+        return out

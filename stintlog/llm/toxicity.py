@@ -25,7 +25,7 @@ from stintlog.llm.common import documents, per_worker
 from stintlog.llm.string_kernel import END, START, LinearScore, codes, kernel, windows
 
 # Labelled documents that the machine is fitted on, the first in an order by hash.
-TOXIC_SAMPLE, CLEAN_SAMPLE = 700, 1_600
+TOXIC_SAMPLE, CLEAN_SAMPLE = 800, 1_600
 LANDMARKS, CLEAN_LANDMARKS = 48, 16
 GRAM = 5
 GRAMS = 4_000  # grams that landmarks are chosen by, those with the best evidence
@@ -37,8 +37,9 @@ PENALTY = 10.0
 OFFSET = -1.0
 BENT = 2  # copies of each insult with an inserted letter that a fit sees
 
-# Words whose score a Python worker remembers; a full memory is emptied.
-REMEMBERED = 700_000
+# Bytes of words, with what Python adds to each, whose score a Python worker remembers; a full memory
+# is emptied. Longer words are not remembered.
+REMEMBERED, EACH, LONGEST = 128 << 20, 150, 256
 
 _MARKS = re.compile(r"[\W_]+")
 # Added to a text's mean before the logarithm: a text without insults is far from one with few.
@@ -85,21 +86,34 @@ class Scorer:
         self.model = model
         self.score = LinearScore(model.landmarks, model.beta, model.bias)
         self._seen: dict[str, float] = {}
+        self._held = 0
 
     def margins(self, texts: list[str]) -> np.ndarray:
         """The logarithm of what a word of each text adds in the mean; lowest for a text without words."""
         words = [words_of(t) for t in texts]
         seen = self._seen
-        new = list({w for ws in words for w in ws if w not in seen})
-        if len(seen) + len(new) > REMEMBERED:
+        if self._held > REMEMBERED:
             seen.clear()
-            new = list({w for ws in words for w in ws})
+            self._held = 0
+        new: set[str] = set()
+        for ws in words:
+            new |= set(ws).difference(seen)
         units: dict[str, list[str]] = defaultdict(list)
         for w in new:
-            units[unit_of(w)].append(w)
+            unit = w if w.isalnum() else unit_of(w)
+            known = seen.get(unit)
+            if known is None:
+                units[unit].append(w)
+            else:  # with other marks it was scored before
+                seen[w] = known
         for unit, score in zip(units, np.maximum(self.score(list(units)), 0).tolist()):
-            seen.update(dict.fromkeys(units[unit], score))
+            seen.update(dict.fromkeys([unit, *units[unit]], score))
+        new.update(units)
+        self._held += sum(map(len, new)) + EACH * len(new)
         mean = [sum(map(seen.__getitem__, ws)) / max(1, len(ws)) for ws in words]
+        for w in [w for w in new if len(w) > LONGEST]:
+            del seen[w]
+            self._held -= len(w) + EACH
         return np.log(np.array(mean, dtype=np.float64) + LEAST_MEAN)
 
 
@@ -127,8 +141,7 @@ def fit_svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
     return w
 
 
-def _grams(unit: str) -> set[str]:
-    marked = START + unit + END
+def _grams(marked: str) -> set[str]:
     return {marked[i : i + GRAM] for i in range(max(1, len(marked) - GRAM + 1))}
 
 
@@ -148,8 +161,10 @@ def _calibrated(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 def train(units_of: dict[int, set[str]], toxic: dict[int, int]) -> ToxicityModel:
     """A model from the units of each labelled document, not calibrated yet.
 
-    Without documents of both kinds there is nothing to learn: every score is 0.
+    A long unit takes part with all its windows, as in scoring. Without documents of both kinds there
+    is nothing to learn: every score is 0.
     """
+    units_of = {d: {w for u in us for w in windows(u)} for d, us in units_of.items()}
     pos = sorted(d for d, y in toxic.items() if y and units_of.get(d))
     neg = sorted(d for d, y in toxic.items() if not y and units_of.get(d))
     if not pos or not neg:
@@ -194,14 +209,14 @@ def train(units_of: dict[int, set[str]], toxic: dict[int, int]) -> ToxicityModel
             break
     clean_units = sorted(n_clean)
     chosen += [clean_units[i] for i in rng.permutation(len(clean_units))[:CLEAN_LANDMARKS]]
-    landmarks = list(dict.fromkeys(windows(u)[0] for u in chosen))
+    landmarks = list(dict.fromkeys(chosen))
     marked = codes(landmarks)
     values, vectors = np.linalg.eigh(kernel(marked, marked))
     keep = values > 1e-6
     whiten = vectors[:, keep] / np.sqrt(values[keep])
 
     def features(units: list[str]) -> np.ndarray:
-        return kernel(codes([windows(u)[0] for u in units]), marked) @ whiten
+        return kernel(codes(units), marked) @ whiten
 
     def strength(u: str) -> float:
         return max(evidence.get(g, 0.0) for g in _grams(u))
@@ -219,10 +234,10 @@ def train(units_of: dict[int, set[str]], toxic: dict[int, int]) -> ToxicityModel
         count = Counter(meant.values())
         shown = sorted(count)
         # Each meant unit again with a letter inserted: what gaps and inserted letters look like.
-        letters = sorted({c for u in shown for c in u}) or ["x"]
+        letters = sorted({c for u in shown for c in u} - {START, END}) or ["x"]
         bent = []
         for u in shown * BENT:
-            i, c = int(rng.integers(1, max(2, len(u)))), letters[int(rng.integers(len(letters)))]
+            i, c = int(rng.integers(2, max(3, len(u) - 1))), letters[int(rng.integers(len(letters)))]
             bent.append(u[:i] + c + u[i:])
         units = [*shown, *bent, *hard]
         y = np.r_[np.ones((1 + BENT) * len(shown)), -np.ones(len(hard))]
@@ -233,9 +248,9 @@ def train(units_of: dict[int, set[str]], toxic: dict[int, int]) -> ToxicityModel
         score = LinearScore(landmarks, whiten @ w, OFFSET)
         if turn < ROUNDS - 1:
             toxic_units = sorted({u for us in candidates.values() for u in us})
-            of = dict(zip(toxic_units, score(toxic_units).tolist()))
+            of = dict(zip(toxic_units, score.of_windows(toxic_units).tolist()))
             meant = {d: max(us, key=lambda u: (of[u], u)) for d, us in candidates.items()}
-            of_clean = score(clean_units)
+            of_clean = score.of_windows(clean_units)
             hardest = np.argsort(-of_clean, kind="stable")[: NEGATIVES // 2]
             said = set(meant.values())
             hard = list(dict.fromkeys([*hard, *(clean_units[i] for i in hardest if clean_units[i] not in said)]))
@@ -296,12 +311,17 @@ def scorer_of(spark: SparkSession, model: ToxicityModel) -> Callable[[Column], C
 
 
 def _column_of(spark: SparkSession, model: ToxicityModel, told: Callable[[Scorer, np.ndarray], np.ndarray]) -> Callable[[Column], Column]:
-    sent = spark.sparkContext.broadcast(model)
+    # Plain values: a class would be looked up by name in workers that have no copy of this package.
+    sent = spark.sparkContext.broadcast((model.landmarks, model.beta.tolist(), model.bias, model.slope, model.shift))
     key = ("toxicity", model.key())
 
+    def scorer_of_worker() -> Scorer:
+        landmarks, beta, *rest = sent.value
+        return Scorer(ToxicityModel(landmarks, np.array(beta), *rest))
+
     @F.pandas_udf("double")
     def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        scorer = per_worker(key, lambda: Scorer(sent.value))
+        scorer = per_worker(key, scorer_of_worker)
         for batch in texts:
             rows = batch.tolist()
             margin = [scorer.margins(rows[i : i + 400]) for i in range(0, len(rows), 400)]

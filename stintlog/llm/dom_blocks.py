@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_right
 from dataclasses import dataclass
+from functools import cache
 
 # Tags that end a block of text where they start or end; fixed by the HTML standard's default styles.
 BLOCK = frozenset(
@@ -33,14 +35,72 @@ _WORD = re.compile(r"[a-z]+|[0-9]+")
 
 @dataclass(frozen=True)
 class Block:
-    """A block's text, white space made single and trimmed; the tags and names around it; characters in links."""
+    """A block's text, white space made single and trimmed; the tag it lies in, all tags and names around
+    it, and its characters in links."""
 
     text: str
-    tags: tuple[str, ...]
-    names: tuple[str, ...]
+    tag: str
+    tags: frozenset[str]
+    names: frozenset[str]
     linked: int
 
 
+class _Open:
+    """The open elements. Places are kept by tag, and sets of tags and names are shared with the parent
+    where an element adds none, so that broken or deep pages take no longer than others."""
+
+    def __init__(self):
+        self.tags: list[str] = []
+        self.around: list[tuple[frozenset[str], frozenset[str]]] = [(frozenset(), frozenset())]
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = []  # places of block elements other than paragraphs
+
+    def last(self, tag: str) -> int:
+        """The place of the innermost element of a tag, -1 without one."""
+        places = self.places.get(tag)
+        return places[-1] if places else -1
+
+    def push(self, tag: str, names: tuple[str, ...]) -> None:
+        tags, known = self.around[-1]
+        if tag not in tags:
+            tags = tags | {tag}
+        if not known.issuperset(names):
+            known = known.union(names)
+        place = len(self.tags)
+        self.tags.append(tag)
+        self.around.append((tags, known))
+        self.places.setdefault(tag, []).append(place)
+        if tag in BLOCK and tag != "p":
+            self.blocks.append(place)
+
+    def close(self, upto: int) -> None:
+        """Close the element at a place and all inside it."""
+        while len(self.tags) > upto:
+            tag = self.tags.pop()
+            self.around.pop()
+            self.places[tag].pop()
+            if self.blocks and self.blocks[-1] == len(self.tags):
+                self.blocks.pop()
+
+    def make_room(self, tag: str) -> None:
+        """Close what the start of a block element ends: a paragraph, or an item of the same list or table."""
+        if tag not in _CLOSES:
+            place = self.last("p")
+            if place > (self.blocks[-1] if self.blocks else -1):
+                self.close(place)
+            return
+        closes, within = _CLOSES[tag]
+        wall = max((self.last(t) for t in within), default=-1)
+        ended = []
+        for t in {"p", *closes}:
+            places = self.places.get(t, [])
+            i = bisect_right(places, wall)
+            if i < len(places):
+                ended.append(places[i])
+        if ended:
+            self.close(min(ended))
+
+
 def _names(attributes: str) -> tuple[str, ...]:
     if "=" not in attributes:
         return ()
@@ -56,10 +116,10 @@ def leaf_blocks(page: str) -> list[Block]:
     the next begins.
     """
     out: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    held = _Open()
     parts: list[str] = []
-    linked = links = 0
-    around: tuple[tuple[str, ...], tuple[str, ...]] | None = None
+    linked = 0
+    around: tuple[str, frozenset[str], frozenset[str]] | None = None
 
     def flush() -> None:
         nonlocal parts, linked, around
@@ -73,23 +133,19 @@ def leaf_blocks(page: str) -> list[Block]:
         nonlocal linked, around
         text = html.unescape(raw) if "&" in raw else raw
         parts.append(text)
-        if not text.isspace():
+        if text and not text.isspace():
             if around is None:
-                around = tuple(t for t, _ in stack), tuple(n for _, ns in stack for n in ns)
-            if links:
+                around = (held.tags[-1] if held.tags else "", *held.around[-1])
+            if held.last("a") >= 0:
                 linked += len(text.strip())
 
-    def close(upto: int) -> None:
-        nonlocal links
-        for tag, _ in stack[upto:]:
-            links -= tag == "a"
-        del stack[upto:]
-
-    at, end = 0, len(page)
+    at, end, last = 0, len(page), page.rfind(">")
     while at < end:
-        token = _TOKEN.search(page, at)
+        token = _TOKEN.search(page, at) if at <= last else None
         if token is None:
-            add(page[at:])
+            # No tag can end any more; only a comment without an end still hides what follows.
+            stop = page.find("<!--", at)
+            add(page[at : stop if stop >= 0 else end])
             break
         if token.start() > at:
             add(page[at : token.start()])
@@ -103,28 +159,23 @@ def leaf_blocks(page: str) -> list[Block]:
         elif tag == "br":
             parts.append(" ")
         if ending:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    close(i)
-                    break
+            if (place := held.last(tag)) >= 0:
+                held.close(place)
             continue
         if tag in RAW:
             if not attributes.rstrip().endswith("/"):
-                stop = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
+                stop = _end_of(tag).search(page, at)
                 at = stop.end() if stop else end
             continue
         if tag in VOID:
             continue
         if tag in BLOCK:
-            closes, within = _CLOSES.get(tag, ({"p"}, set()))
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] in closes or stack[i][0] == "p":
-                    close(i)
-                    if tag not in _CLOSES:
-                        break
-                elif stack[i][0] in within or stack[i][0] in BLOCK and tag not in _CLOSES:
-                    break
-        stack.append((tag, _names(attributes)))
-        links += tag == "a"
+            held.make_room(tag)
+        held.push(tag, _names(attributes))
     flush()
     return out
+
+
+@cache
+def _end_of(tag: str) -> re.Pattern:
+    return re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I)

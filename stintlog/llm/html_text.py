@@ -35,16 +35,16 @@ def features(blocks: list[Block]) -> list[list[str]]:
         last = b.text[-1]
         found = [
             "one",
-            f"in {b.tags[-1]}" if b.tags else "in nothing",
+            f"in {b.tag}" if b.tag else "in nothing",
             f"length {min(9, n.bit_length())}",
             f"links {'all' if share > 0.9 else 'many' if share > 0.4 else 'some' if share > 0 else 'none'}",
             f"ends {'stop' if last in '.!?' else 'colon' if last in ':;' else 'word' if last.isalnum() else 'mark'}",
         ]
-        found += [f"tag {t}" for t in {*b.tags}]
-        found += [f"name {w}" for w in {*b.names}]
+        found += [f"tag {t}" for t in sorted(b.tags)]
+        found += [f"name {w}" for w in sorted(b.names)]
         if not b.names:
             found.append("no name")
-        if not {"article", "main"} & {*b.tags}:
+        if not {"article", "main"} & b.tags:
             found.append("no holder")
         if _LEGAL.search(b.text):
             found.append("legal")

@@ -1,11 +1,14 @@
 from __future__ import annotations
 
+import time
+from html.parser import HTMLParser
 from itertools import product
 
+import duckdb
 import numpy as np
 import pytest
 
-from stintlog.llm.dom_blocks import leaf_blocks
+from stintlog.llm.dom_blocks import RAW, leaf_blocks
 from stintlog.llm.html_text import Field, _marginals, features, main_text, trained
 from stintlog.llm.labelled_pages import labelled_page
 
@@ -48,7 +51,7 @@ def test_blocks():
     got = [(b.text, b.linked) for b in leaf_blocks(page)]
     assert got == [("One & two three four", 0), ("five six", 0), ("a", 0), ("b", 1), ("<y>", 0), ("tail end", 0)]
     side = leaf_blocks(page)[4]
-    assert side.tags[-1] == "div" and {"side", "bar", "ad", "box", "x", "7"} <= {*side.names}
+    assert side.tag == "div" and {"side", "bar", "ad", "box", "x", "7"} <= side.names
 
 
 @pytest.mark.parametrize("page", ["", " ", "<", "<p", "<p>", "</p>", "<!--", "<script>", "<a href='", "<p title=\"a>b\">x", "&", "<<<>>>", "\x00<p>\x00", "<p>" * 5000])
@@ -56,6 +59,50 @@ def test_broken_pages_do_not_fail(field, page):
     assert isinstance(field.text(page), str)
 
 
+@pytest.mark.parametrize(
+    "unit", ["<a", "<a ", "<!", "</b>", "<div>x", "<b>", "<li>x", "<p>x", "<td>", "<script", "<a href='", '<a title="', "<!--", "&lt;", "<div class=c>x</b>"]
+)
+def test_broken_and_deep_pages_take_linear_time(unit):
+    def seconds(n):
+        page = "<p><ul>" + "<div><b>" * n + unit * n
+        start = time.process_time()
+        leaf_blocks(page)
+        return time.process_time() - start
+
+    seconds(1_000)
+    assert min(seconds(40_000) for _ in range(2)) < 3  # a quadratic parser takes minutes
+
+
+class Shown(HTMLParser):
+    """The visible text of a page by the standard library's parser, which knows nothing of blocks."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.hidden, self.parts = 0, []
+
+    def handle_starttag(self, tag, attrs):
+        self.hidden += tag in RAW
+        self.parts.append(" ")
+
+    def handle_endtag(self, tag):
+        self.hidden -= tag in RAW
+        self.parts.append(" ")
+
+    def handle_data(self, data):
+        if not self.hidden:
+            self.parts.append(data)
+
+
+def test_blocks_hold_all_visible_text():
+    for sf in ("sf0.001", "sf0.01"):
+        for (page,) in duckdb.sql(f"select html from '/root/testdata/{sf}/pages.parquet'").fetchall():
+            parser = Shown()
+            parser.feed(page)
+            parser.close()
+            want = "".join("".join(parser.parts).split())
+            assert "".join("".join(b.text for b in leaf_blocks(page)).split()) == want
+
+
 def test_accuracy_on_other_labelled_pages(field):
     rng = np.random.default_rng(77)
     right = total = 0

@@ -36,6 +36,31 @@ def block_sizes(rows: int, shards: int, rows_per_block: int = ROWS_PER_PART, mos
     return out
 
 
+# The library draws for fewer than this many of a kind.
+LARGE = 1_000_000_000
+
+
+def drawn(rng: np.random.Generator, good: int, bad: int, n: int) -> int:
+    """How many good ones ``n`` draws without replacement have, for any numbers.
+
+    Large ones by the inverse of the distribution around its mode: neighbouring probabilities are
+    simple ratios of each other, and beyond 12 standard deviations there is nothing a double can hold.
+    """
+    if max(good, bad) < LARGE:
+        return int(rng.hypergeometric(good, bad, n))
+    low, high = max(0, n - bad), min(good, n)
+    mode = min(max((n + 1) * (good + 1) // (good + bad + 2), low), high)
+    share = good / (good + bad)
+    wide = int(12 * (n * share * (1 - share)) ** 0.5) + 40
+    start, stop = max(low, mode - wide), min(high, mode + wide)
+    k = np.arange(start, stop, dtype=np.float64)
+    with np.errstate(divide="ignore"):
+        steps = np.log(good - k) + np.log(n - k) - np.log(k + 1) - np.log(bad - n + k + 1)
+    weight = np.r_[0.0, np.cumsum(steps)]
+    total = np.cumsum(np.exp(weight - weight.max()))
+    return start + int(np.searchsorted(total, rng.random() * total[-1], side="right"))
+
+
 def communication_matrix(parts: list[int], targets: list[int], seed: int) -> np.ndarray:
     """How many rows of each part go to each target: a draw with exactly these sums of rows and columns."""
     rng = np.random.Generator(np.random.PCG64(seed))
@@ -48,7 +73,7 @@ def communication_matrix(parts: list[int], targets: list[int], seed: int) -> np.
             if not need:
                 break
             rest -= int(left[j])
-            got = int(rng.hypergeometric(left[j], rest, need)) if rest else need
+            got = drawn(rng, int(left[j]), rest, need) if rest else need
             matrix[i, j] = got
             need -= got
         left -= matrix[i]
@@ -79,15 +104,15 @@ def shuffle_to_shards(docs: DataFrame, shards: int = 24, seed: int = 8, id_col:
     blocks = block_sizes(total, shards)
     matrix = communication_matrix([sizes[p] for p in parts], [b[2] for b in blocks], seed)
     plan = spark.createDataFrame(
-        pd.DataFrame({"part": pd.Series(parts, dtype="int32"), "counts": [m.tolist() for m in matrix]}),
-        "part int, counts array<long>",
+        pd.DataFrame({"part": pd.Series(parts, dtype="int32"), "counts": [m.tobytes() for m in matrix]}),
+        "part int, counts binary",
     )
 
     def send(key: tuple, part: pd.DataFrame, counts: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values("row_id", ignore_index=True)
         order = np.random.Generator(np.random.PCG64([seed, 1, int(key[0])])).permutation(len(part))
         sent = part.iloc[order].drop(columns="part")
-        each = np.asarray(counts["counts"].iloc[0], dtype=np.int64)
+        each = np.frombuffer(counts["counts"].iloc[0], dtype=np.int64)
         return sent.assign(block=np.repeat(np.arange(len(each), dtype=np.int32), each))
 
     def arrange(key: tuple, block: pd.DataFrame) -> pd.DataFrame:

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
+from math import comb
 
 import numpy as np
 from hypothesis import given, settings, strategies as st
@@ -23,6 +24,21 @@ def test_matrix_is_hypergeometric():
     assert abs(np.mean(draws) - 2) < 0.06 and abs(np.var(draws) - 4 * 0.5 * 0.5 * 8 / 11) < 0.08
 
 
+def test_large_draws(monkeypatch):
+    """Beyond the library's numbers: exact sums, and below them the library's distribution."""
+    parts, targets = [3_000_000_000, 5, 2_000_000_000], [2_500_000_001, 2_500_000_000, 4]
+    matrix = sharding.communication_matrix(parts, targets, 3)
+    assert matrix.sum(axis=1).tolist() == parts and matrix.sum(axis=0).tolist() == targets and (matrix >= 0).all()
+    assert abs(matrix[0, 0] / 3e9 - 0.5) < 1e-3
+    monkeypatch.setattr(sharding, "LARGE", 0)
+    rng = np.random.Generator(np.random.PCG64(1))
+    for good, bad, n in ((5, 7, 6), (3, 1, 2), (40, 60, 30), (1, 9, 10), (9, 1, 1)):
+        seen = Counter(sharding.drawn(rng, good, bad, n) for _ in range(20_000))
+        for k in range(n + 1):
+            want = comb(good, k) * comb(bad, n - k) / comb(good + bad, n) if k <= good and n - k <= bad else 0
+            assert abs(seen[k] / 20_000 - want) < 0.015
+
+
 def test_blocks_cover_shards():
     blocks = sharding.block_sizes(1000, 7, rows_per_block=50, most=70)
     sizes = Counter()

@@ -165,6 +165,26 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+@query(
+    "compact_table",
+    f"select session_key, pkt_offset, name, status from {sql('errors')} where session_key in ('S3', 'S7')"
+    f" union all select session_key, pkt_offset, 'all', null from {sql('errors')}",
+)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Micro-batches merged twice on the way; the last ones are read beside the clustered part."""
+    path = shared_dir(spark, "tables")
+    errors = frame(spark, sf_dir, "errors").select("session_key", "pkt_offset", "name", "status")
+    for batch in range(6):
+        session_tables.write_batch({"errors": errors.where(F.col("pkt_offset") % 6 == batch)}, path, batch)
+        if batch in (2, 4):
+            session_tables.compact_table(spark, path, "errors")
+    every = session_tables.load_table(spark, path, "errors").select(
+        "session_key", "pkt_offset", F.lit("all").alias("name"), F.lit(None).cast("string").alias("status")
+    )
+    parts = [session_tables.load_session(spark, path, "errors", s) for s in ("S3", "S7")]
+    return reduce(DataFrame.unionByName, [every, *parts])
+
+
 @query(
     "write_session_tables",
     f"select 'coverage' as record, session_key, pkt_offset from {sql('coverage')}"

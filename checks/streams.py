@@ -121,6 +121,26 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drained(spark, once, "markers_once").select("session_key", "day_ns", "label")
 
 
+@query(
+    "stream_discover_streams",
+    f"""
+    select distinct session_key, concat('Stream', i) as stream,
+      case when i = 2 then cast(length(session_key) as bigint) else 0 end as start_offset
+    from {sql("packets")}, unnest([1, 2]) as u(i) where pkt_offset % 20 = 0 and (i = 1 or k % 2 = 1)
+    """,
+)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every essential packet tells its session's streams again; some tell one more."""
+    packets = arriving(stream(spark, sf_dir))
+    infos = packets.where("is_essential").selectExpr(
+        "session_key", "data_source", "submit_time",
+        "if(k % 2 = 1, array('Stream1', 'Stream2'), array('Stream1')) as streams",
+        "map(concat(data_source, '.Stream2:0'), cast(length(session_key) as bigint)) as offsets",
+    )
+    found = stateful.discovered_streams(infos, later(packets).select("session_key", "submit_time"), lateness="60 days")
+    return drained(spark, found, "streams").select("session_key", "stream", "start_offset")
+
+
 _DEFINED = ["vCar:Chassis", "nEngine:StreamAPI", "k:Row", "twice:Row", "rWheel:Chassis"]
 _BLOCKS = "('PeriodicData', 'RowData', 'SynchroData')"
 

@@ -117,17 +117,18 @@ def read_data_packets(
     return packets.withColumn("selected", F.when(is_block, names)).where(passes)
 
 
+def start_offset() -> Column:
+    """Where ``stream`` starts by the session's ``offsets``; 0 where it names none."""
+    key = F.concat(F.col("data_source"), F.lit("."), F.col("stream"), F.lit(":0"))
+    return F.coalesce(F.try_element_at("offsets", key), F.lit(0)).cast("bigint")
+
+
 def resolve_offsets(sessions: DataFrame) -> DataFrame:
     """Start offset of each stream of each session, 0 where the session names none."""
     streams = sessions.select(
         "session_key", "data_source", "offsets", F.explode("streams").alias("stream")
     )
-    key = F.concat(F.col("data_source"), F.lit("."), F.col("stream"), F.lit(":0"))
-    return streams.select(
-        "session_key",
-        "stream",
-        F.coalesce(F.try_element_at("offsets", key), F.lit(0)).cast("bigint").alias("start_offset"),
-    )
+    return streams.select("session_key", "stream", start_offset().alias("start_offset"))
 
 
 def discover_streams(sessions: DataFrame, known: DataFrame) -> DataFrame:

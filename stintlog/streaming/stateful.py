@@ -18,6 +18,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from stintlog.functions.times import NS_PER_SECOND
 from stintlog.operators.laps import GUARD_NS, IN_LAP, MAIN_TRIGGER, OUT_LAP, PIT_LANE, PIT_TRIGGER
+from stintlog.operators.packets import start_offset
 from stintlog.schemas import BOOL, INT, LONG, TEXT, record
 
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -342,3 +343,80 @@ def hold_rows(
 def _milliseconds(df: DataFrame, interval: str) -> int:
     seconds = df.sparkSession.range(1).select(F.expr(f"cast(interval {interval} as interval second)").cast("decimal(18,3)"))
     return int(seconds.first()[0] * 1000)
+
+
+_FOUND = record(session_key=TEXT, stream=TEXT, start_offset=LONG, seen_at=T.TimestampType())
+
+
+class FirstSeen(StatefulProcessor):
+    """State of a session: the streams it is known to have."""
+
+    def __init__(self, idle_ms: int):
+        self.idle_ms = idle_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.seen = handle.getListState("seen", record(stream=TEXT))
+        self.session = handle.getValueState("session", record(newest_ms=LONG, ended_ms=LONG, alarm_ms=LONG))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        newest, ended, alarm_ms = self.session.get() or (None, None, None)
+        named: list[tuple] = []
+        for batch in rows:
+            latest = int(batch["arrived_ms"].max())
+            newest = latest if newest is None else max(newest, latest)
+            for stream, start, arrived in zip(batch["stream"], batch["start_offset"].tolist(), batch["arrived_ms"].tolist()):
+                if stream is None:
+                    ended = arrived if ended is None else max(ended, arrived)
+                else:
+                    named.append((arrived, stream, start))
+        known = {row[0] for row in self.seen.get()} if named and self.seen.exists() else set()
+        new: dict[str, tuple] = {}
+        for arrived, stream, start in sorted(named):
+            if stream not in known:
+                new.setdefault(stream, (key[0], stream, start, pd.Timestamp(arrived, unit="ms")))
+        if new:
+            self.seen.appendList([(stream,) for stream in new])
+        alarm = _Alarm(self.handle, alarm_ms)
+        alarm.by(min([newest + self.idle_ms, *([ended] if ended is not None else [])]))
+        self.session.update((newest, ended, alarm.at))
+        yield from _frames([*new.values()], _FOUND.names)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        yield from ()
+        held = self.session.get()
+        if held is None:
+            return
+        newest, ended, _ = held
+        now = timerValues.getCurrentWatermarkInMs()
+        if ended is not None and ended <= now or newest + self.idle_ms <= now:
+            self.seen.clear()
+            self.session.clear()
+            return
+        alarm = _Alarm(self.handle, None)
+        alarm.by(newest + self.idle_ms if ended is None else min(ended, newest + self.idle_ms))
+        self.session.update((newest, ended, alarm.at))
+
+    def close(self) -> None:
+        pass
+
+
+def discovered_streams(
+    infos: DataFrame, ends: DataFrame, lateness: str = "1 minute", idle_ns: int = 24 * 3600 * NS_PER_SECOND
+) -> DataFrame:
+    """Streams of sessions as they are announced, each once: ``session_key, stream, start_offset, seen_at``.
+
+    ``infos`` is a stream of session updates (``session_key, data_source, streams, offsets,
+    submit_time``), ``ends`` one of ``session_key, submit_time``. A reader starts each stream at the
+    offset it was first announced with. An ended or silent session is forgotten.
+    """
+    use_rocksdb(infos)
+    at = infos.select("session_key", "data_source", "submit_time", "offsets", F.explode("streams").alias("stream"))
+    named = at.select("session_key", "submit_time", "stream", start_offset().alias("start_offset"))
+    over = ends.select(
+        "session_key", "submit_time", F.lit(None).cast("string").alias("stream"), F.lit(0).cast("bigint").alias("start_offset")
+    )
+    both = named.unionByName(over).withColumn("arrived_ms", F.unix_millis("submit_time")).withWatermark("submit_time", lateness)
+    return both.groupBy("session_key").transformWithStateInPandas(
+        FirstSeen(idle_ns // 1_000_000), _FOUND, "append", "eventTime"
+    )

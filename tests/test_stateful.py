@@ -205,3 +205,24 @@ def test_formats_and_definitions_in_later_files_lose_no_sample(spark, tmp_path):
     assert {("no parameter list", "2"), ("parameter not defined", "rWheel:Chassis")} <= why
     given_up = rejects.where("reason = 'no parameter list'").join(packets, "pkt_offset").select("data_source").distinct().collect()
     assert [r.data_source for r in given_up] == ["DS2"]
+
+
+def test_streams_are_discovered_once(spark, tmp_path):
+    schema = "pkt_offset bigint, session_key string, data_source string, streams array<string>, offsets map<string, bigint>, type string"
+    rows = [
+        (1, "A", "D", ["s1"], {}, "SessionInfo"), (2, "A", "D", ["s1", "s2"], {"D.s2:0": 9}, "SessionInfo"), (3, "B", "D", ["s1"], {"D.s1:0": 4}, "SessionInfo"),
+        (4, "A", "D", ["s2", "s3"], {"D.s2:0": 11}, "SessionInfo"), (5, "A", "D", None, None, "EndOfSession"), (6, "B", "D", ["s1", "s1"], None, "SessionInfo"),
+        (10_000, "~", "D", [], None, "EndOfSession"), (20_000, "~", "D", [], None, "EndOfSession"),
+    ]
+    parts = mixed_parts(spark, arriving(spark.createDataFrame(rows, schema)), 4, jitter=0)
+    source = feed_of(spark, tmp_path / "in", parts[:2])
+    path, checkpoint = shared_dir(spark, "streams"), shared_dir(spark, "checkpoint")
+    for more in ([], parts[2:]):
+        for part in more:
+            source.add(part)
+        stream = source.stream()
+        infos, ends = stream.where("type = 'SessionInfo'"), stream.where("type = 'EndOfSession'").select("session_key", "submit_time")
+        drain(stateful.discovered_streams(infos, ends, "10 seconds", idle_ns=3600 * S), spark, "streams", path, checkpoint)
+    got = sorted((r.session_key, r.stream, r.start_offset) for r in session_tables.load_table(spark, path, "streams").collect())
+    assert got == [("A", "s1", 0), ("A", "s2", 9), ("A", "s3", 0), ("B", "s1", 4)]
+    assert held_sessions(spark, checkpoint) == {"~"}

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import pickle
 import random
 from itertools import combinations
 
@@ -134,3 +135,12 @@ def test_words_count_as_often_as_they_occur(spark):
     got = tx.detect(frame(spark, docs), spark.createDataFrame(labels, "doc_id long, toxic int")).filter("held_out").collect()
     hit = sum(r.predicted and r.doc_id % 5 == 0 for r in got)
     assert hit / sum(r.doc_id % 5 == 0 for r in got) > 0.9 and hit / max(1, sum(r.predicted for r in got)) > 0.9
+
+
+def test_what_is_broadcast_needs_no_package(spark, monkeypatch):
+    """Executors unpickle a broadcast by name, so it holds plain values only."""
+    sent, kind = [], type(spark.sparkContext)
+    real = kind.broadcast
+    monkeypatch.setattr(kind, "broadcast", lambda self, value: (sent.append(value), real(self, value))[1])
+    tx.scorer_of(spark, tx.ToxicityModel(["\x02idiot\x03"], np.ones(1), -1.0, 1.0, 0.0))
+    assert len(sent) == 1 and b"stintlog" not in pickle.dumps(sent)

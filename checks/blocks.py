@@ -14,6 +14,8 @@ from checks.registry import query
 from stintlog.functions.times import day_time
 from stintlog.operators import formats as fm, samples as sm
 from stintlog.plans import recording
+from stintlog.session import shared_dir
+from stintlog.sources.registry import register_channels
 
 DAY = 86400000000000
 PERIODIC, SYNCHRO, ROWS = sql("periodic"), sql("synchro"), sql("rows")
@@ -428,6 +430,23 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 _GOOD = f"(select * from {sql('packets')} where k % 31 <> 0)"
 
 
+def recorded_channels_sql() -> str:
+    """Channels of all that ``packet_log`` has samples or errors of."""
+    return f"""
+    select *, row_number() over (partition by session_key
+      order by md5(concat(space, '|', parameter, '|', channel_interval))) as channel_id
+    from (select session_key, kind as space, parameter, interval_ns as channel_interval from ({samples_sql()})
+      union select session_key, 'Row', concat(kind, 'E', k % 6, ':Ecu'), 0
+      from {_GOOD}, unnest(['Current', 'Logged']) as u(kind) where type = 'Error')
+    """
+
+
+@query("recorded_channels", recorded_channels_sql())
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = on_disk(packet_log(frame(spark, sf_dir, "packets")))
+    return register_channels(spark, shared_dir(spark, "channels"), recording.recorded_parameters(log, formats(spark)))
+
+
 @query(
     "recorded_tables",
     f"""
@@ -441,6 +460,22 @@ _GOOD = f"(select * from {sql('packets')} where k % 31 <> 0)"
     union all select 'samples', session_key, pkt_offset, concat(parameter, ' ', ts_ns, ' ', status) from ({samples_sql()})
     union all select 'error_definitions', session_key, null, concat(kind, 'E', k % 6, ':Ecu')
       from (select distinct session_key, k % 6 as k from {_GOOD} where type = 'Error'), unnest(['Current', 'Logged']) as u(kind)
+    union all select 'channels', session_key, null, concat(space, ' ', parameter, ' ', channel_interval, ' ', channel_id)
+      from ({recorded_channels_sql()})
+    union all select 'error_samples', e.session_key, e.pkt_offset,
+        concat(parameter, ' ', channel_id, ' ', case when w.value then 1 else 0 end, ' ', ts_ns % {DAY})
+      from {_GOOD} e join (values (0, 'Logged', true), (0, 'Current', true), (1, 'Logged', true), (1, 'Current', false),
+        (2, 'Logged', true), (3, 'Current', false), (3, 'Logged', false)) as w(case_no, kind, value) on w.case_no = k % 4
+      join ({recorded_channels_sql()}) c on c.session_key = e.session_key and c.space = 'Row'
+        and c.parameter = concat(w.kind, 'E', k % 6, ':Ecu')
+      where type = 'Error'
+    union all select 'ranges', session_key, null, concat(min(day_ns), ' ', max(day_ns)) from (
+      select session_key, ts_ns % {DAY} as day_ns from {_GOOD} where type in ('RowData', 'SynchroData', 'RawCANData',
+        'CoverageCursorInfo') or (type = 'PeriodicData' and k % 10 <> 0)
+      union all select session_key, (ts_ns + 1000) % {DAY} from {_GOOD} where type = 'RowData') group by session_key
+    union all select 'rejects', session_key, pkt_offset, case when type = 'Mystery' then 'unknown type'
+        when k % 31 = 0 then 'undecodable content' else 'no interval' end
+      from {sql('packets')} where type = 'Mystery' or k % 31 = 0 or (type = 'PeriodicData' and k % 10 = 0)
     """,
 )
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -449,6 +484,9 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
         "can_frames": F.col("can_id").cast("string"), "coverage": F.col("ts_ns").cast("string"), "errors": F.col("name"),
         "events": F.col("event_identifier"), "lap_triggers": F.col("label"), "markers": F.col("label"),
         "samples": F.concat_ws(" ", "parameter", F.col("ts_ns").cast("string"), "status"), "error_definitions": F.col("parameter"),
+        "channels": F.concat_ws(" ", "space", "parameter", F.col("channel_interval").cast("string"), F.col("channel_id").cast("string")),
+        "error_samples": F.concat_ws(" ", "parameter", F.col("channel_id").cast("string"), F.col("value").cast("int").cast("string"), F.col("day_ns").cast("string")),
+        "ranges": F.concat_ws(" ", F.col("start_ns").cast("string"), F.col("end_ns").cast("string")), "rejects": F.col("reason"),
     }
     rows = [
         tables[name].select(

@@ -16,7 +16,7 @@ from stintlog.operators import race, sessions as ss
 from stintlog.plans.recording import time_records_of
 from stintlog.schemas import LOG
 from stintlog.session import shared_dir
-from stintlog.sources import packet_log as log, session_tables
+from stintlog.sources import packet_log as log, registry, session_tables
 from stintlog.streaming import recorder, stateful
 
 
@@ -265,3 +265,29 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     recorder.replay_history(spark, archive, "S7", formats(spark), path, shared_dir(spark, "replay-checkpoint"))
     samples = session_tables.load_session(spark, path, "samples", "S7")
     return samples.select("pkt_offset", "parameter", "ts_ns", "value", "status")
+
+
+@query(
+    "register_formats_live",
+    """
+    select row_number() over (order by min(l_orderkey * 8 + l_linenumber), params) as format_id, params as names
+    from (select *, concat('P', l_partkey % 40, ',P', l_suppkey % 7) as params from lineitem) group by params
+    """,
+)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of parameter lists that a stream brings in four files, and that come once more in another stream."""
+    lists = table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey * 8 + l_linenumber as pkt_offset", "array(concat('P', l_partkey % 40), concat('P', l_suppkey % 7)) as params"
+    )
+    arrived, path = shared_dir(spark, "lists"), shared_dir(spark, "formats")
+    quarter = F.lit(lists.agg(F.max("pkt_offset").alias("top")).first().top // 4 + 1)
+    for number in range(4):
+        part = lists.where((F.col("pkt_offset") >= quarter * number) & (F.col("pkt_offset") < quarter * (number + 1)))
+        part.coalesce(1).write.mode("append").parquet(arrived)
+    for files in (1, 3):
+        source = spark.readStream.schema(lists.schema).option("maxFilesPerTrigger", files).parquet(arrived)
+        query = source.writeStream.foreachBatch(
+            lambda batch, _: registry.register_formats(spark, path, batch, "parameter") and None
+        )
+        query.option("checkpointLocation", shared_dir(spark, "lists-checkpoint")).trigger(availableNow=True).start().awaitTermination()
+    return registry.known_formats(spark, path).select("format_id", F.array_join("params", ",").alias("names"))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from stintlog.functions.names import event_priority, full_identifier, hex_id, parse_identifier
 from stintlog.operators.ordering import number_rows
+from stintlog.operators.samples import fits_intervals
 
 # Fixed values.
 DEFAULT_CONVERSION = "DefaultConversion"
@@ -222,22 +223,45 @@ def _channel_interval(kind: Column) -> Column:
     return F.when(kind == "Periodic", F.col("interval_ns")).otherwise(F.lit(0)).cast("bigint")
 
 
-def assign_channels(parameters: DataFrame, known: DataFrame | None = None) -> DataFrame:
-    """A channel id, unique in its session, per parameter (and interval, if periodic).
+# What a channel belongs to.
+CHANNEL_KEYS = ("session_key", "space", "parameter", "channel_interval")
 
-    Takes ``session_key, kind, parameter, interval_ns``, repeats allowed. Channels in ``known``
-    (an earlier result) keep their ids, and new ones follow. Ids number the keys by their MD5,
-    so they do not depend on arrival, and a large session is numbered in parts. Ids have 64 bits
-    and never wrap.
-    """
-    keys = ["session_key", "space", "parameter", "channel_interval"]
-    text = F.concat_ws("|", "space", "parameter", F.col("channel_interval").cast("string"))
-    channels = parameters.select(
+
+def channel_keys(parameters: DataFrame) -> DataFrame:
+    """The distinct keys that need a channel; see ``assign_channels``."""
+    return parameters.select(
         "session_key",
         _channel_space(F.col("kind")).alias("space"),
         "parameter",
         _channel_interval(F.col("kind")).alias("channel_interval"),
     ).distinct()
+
+
+def block_parameters(blocks: DataFrame, kind: str) -> DataFrame:
+    """``session_key, kind, parameter, interval_ns`` of what blocks of a kind have samples of.
+
+    Takes blocks with wide lists. Lists of names are made distinct before any name is exploded,
+    and samples never are: a block adds a row for its list, however many samples it has.
+    """
+    if kind == "Row":
+        names = F.when(F.exists("rows", lambda row: row.isNotNull()), F.col("params"))
+    else:
+        sampled = F.filter(F.arrays_zip("params", "columns"), lambda c: _has_samples(kind, c["columns"]))
+        names = F.transform(sampled, lambda c: c["params"])
+    interval = F.col("interval_ns") if kind == "Periodic" else F.lit(0).cast("bigint")
+    lists = blocks.select("session_key", names.alias("names"), interval.alias("interval_ns")).distinct()
+    return lists.select("session_key", F.lit(kind).alias("kind"), F.explode("names").alias("parameter"), "interval_ns").distinct()
+
+
+def _has_samples(kind: str, column: Column) -> Column:
+    return column.isNotNull() & fits_intervals(F.size(column), F.size("intervals")) if kind == "Synchro" else column.isNotNull()
+
+
+def new_channels(parameters: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """Channels of parameters that have none yet, numbered after the last one of their session."""
+    keys = list(CHANNEL_KEYS)
+    text = F.concat_ws("|", "space", "parameter", F.col("channel_interval").cast("string"))
+    channels = channel_keys(parameters)
     if known is not None:
         channels = channels.join(known, keys, "left_anti")
     numbered = number_rows(
@@ -251,9 +275,19 @@ def assign_channels(parameters: DataFrame, known: DataFrame | None = None) -> Da
         return numbered.select(*keys, F.col("number").alias("channel_id"))
     last = known.groupBy("session_key").agg(F.max("channel_id").alias("_last"))
     following = F.coalesce("_last", F.lit(0)) + F.col("number")
-    return known.unionByName(
-        numbered.join(last, "session_key", "left").select(*keys, following.alias("channel_id"))
-    )
+    return numbered.join(last, "session_key", "left").select(*keys, following.alias("channel_id"))
+
+
+def assign_channels(parameters: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """A channel id, unique in its session, per parameter (and interval, if periodic).
+
+    Takes ``session_key, kind, parameter, interval_ns``, repeats allowed. Channels in ``known``
+    (an earlier result) keep their ids, and new ones follow. Ids number the keys by their MD5,
+    so they do not depend on arrival, and a large session is numbered in parts. Ids have 64 bits
+    and never wrap.
+    """
+    new = new_channels(parameters, known)
+    return new if known is None else known.unionByName(new)
 
 
 def attach_channels(samples: DataFrame, channels: DataFrame) -> DataFrame:

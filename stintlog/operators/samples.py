@@ -72,7 +72,7 @@ def explode_synchro(packets: DataFrame) -> DataFrame:
     columns = times.select(
         *carried, "times", F.explode(F.arrays_zip("params", "columns")).alias("c")
     ).select(*carried, "times", F.col("c.params").alias("parameter"), F.col("c.columns").alias("values"))
-    samples = columns.where(_fits(F.size("values"), F.size("times") - 1)).select(
+    samples = columns.where(fits_intervals(F.size("values"), F.size("times") - 1)).select(
         *carried, "parameter", F.explode(F.arrays_zip("times", "values")).alias("t")
     ).select(
         *carried, "parameter", F.col("t.times").alias("at_ns"), F.col("t.values").alias("sample")
@@ -80,7 +80,8 @@ def explode_synchro(packets: DataFrame) -> DataFrame:
     return _samples(samples.where(F.col("sample").isNotNull()), carried, F.col("at_ns"), "Synchro")
 
 
-def _fits(n_samples: Column, n_intervals: Column) -> Column:
+def fits_intervals(n_samples: Column, n_intervals: Column) -> Column:
+    """Whether a variable-rate column has as many samples as intervals, or one more."""
     return (n_samples == n_intervals) | (n_samples == n_intervals + 1)
 
 
@@ -92,7 +93,7 @@ def misfit_synchro(packets: DataFrame) -> DataFrame:
     )
     n_samples, n_intervals = F.size("c.columns"), F.size("intervals")
     return columns.where(
-        F.col("c.columns").isNull() | ~_fits(n_samples, n_intervals)
+        F.col("c.columns").isNull() | ~fits_intervals(n_samples, n_intervals)
     ).select(
         *carried,
         F.col("c.params").alias("parameter"),

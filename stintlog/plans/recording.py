@@ -11,7 +11,8 @@ from stintlog.functions.lists import sample_kind
 from stintlog.functions.times import day_time
 from stintlog.operators import laps, packets as pk, race, samples as sm, sessions
 from stintlog.operators.definitions import (
-    dedupe_config, error_definitions, event_definitions, group_definitions, parameter_definitions, undefinable_events,
+    assign_channels, block_parameters, dedupe_config, error_definitions, event_definitions, group_definitions,
+    parameter_definitions, undefinable_events,
 )
 from stintlog.operators.formats import check_arity, resolve_event, resolve_parameter_list
 
@@ -46,10 +47,19 @@ def _sized(decoded: DataFrame, formats: DataFrame | None, kind: str) -> DataFram
     return check_arity(sm.widen_samples(resolved, LISTS[kind]))
 
 
-def _blocks(packets: DataFrame, formats: DataFrame | None, kind: str, decoder: Decoder | None = None) -> DataFrame:
-    """The blocks of one kind whose sizes agree; ``rejects_of`` has the others."""
-    blocks = _sized(_decoded(packets, kind, decoder), formats, kind)
-    return blocks.where(F.col("arity_error").isNull()).drop("arity_error", "format_id")
+# Decoded blocks of a kind, and the same ones with their names, wide lists and size error.
+Sized = dict[str, tuple[DataFrame, DataFrame]]
+
+
+def _sized_blocks(packets: DataFrame, formats: DataFrame | None, decoder: Decoder | None) -> Sized:
+    """All kinds of blocks, made once for the plans that read them."""
+    decoded = {kind: _decoded(packets, kind, decoder) for kind in LISTS}
+    return {kind: (blocks, _sized(blocks, formats, kind)) for kind, blocks in decoded.items()}
+
+
+def _fitting(sized: DataFrame) -> DataFrame:
+    """The blocks whose sizes agree; ``rejects_of`` has the others."""
+    return sized.where(F.col("arity_error").isNull()).drop("arity_error", "format_id")
 
 
 def samples_of(packets: DataFrame, formats: DataFrame | None, decoder: Decoder | None = None) -> DataFrame:
@@ -57,8 +67,12 @@ def samples_of(packets: DataFrame, formats: DataFrame | None, decoder: Decoder |
 
     Without formats the packets bring their resolved names as a column ``known_params``.
     """
+    return _samples_of(_sized_blocks(packets, formats, decoder))
+
+
+def _samples_of(blocks: Sized) -> DataFrame:
     zero = F.lit(0).cast("bigint")
-    periodic, rows, synchro = (_blocks(packets, formats, kind, decoder) for kind in LISTS)
+    periodic, rows, synchro = (_fitting(blocks[kind][1]) for kind in LISTS)
     parts = [
         sm.explode_periodic(sm.drop_zero_interval(periodic)),
         sm.explode_rows(rows).withColumn("interval_ns", zero),
@@ -76,6 +90,10 @@ def rejects_of(packets: DataFrame, formats: DataFrame | None, decoder: Decoder |
     the samples these account for every list of every block. Without formats see ``samples_of``; events
     are then not looked at.
     """
+    return _rejects_of(packets, formats, decoder, _sized_blocks(packets, formats, decoder))
+
+
+def _rejects_of(packets: DataFrame, formats: DataFrame | None, decoder: Decoder | None, blocks: Sized) -> DataFrame:
     carried = [c for c in ("pkt_offset", "session_key", "type", "content", _KNOWN) if c in packets.columns]
     packets = packets.select(carried)
 
@@ -87,11 +105,10 @@ def rejects_of(packets: DataFrame, formats: DataFrame | None, decoder: Decoder |
 
     parts = [rows(pk.reject_packets(packets, decoder=decoder), F.col("type"), F.col("reason"))]
     for kind, lists in LISTS.items():
-        decoded = _decoded(packets, kind, decoder)
-        sized = _sized(decoded, formats, kind)
+        decoded, sized = blocks[kind]
         name = F.lit(kind)
         parts.append(rows(sized.where(F.col("arity_error").isNotNull()), name, F.col("arity_error")))
-        fitting = sized.where(F.col("arity_error").isNull()).drop("arity_error", "format_id")
+        fitting = _fitting(sized)
         typed = decoded
         if kind == "PeriodicData":
             idle = ~F.coalesce(F.col("interval_ns") > 0, F.lit(False))
@@ -217,25 +234,60 @@ def session_log_of(packets: DataFrame, decoder: Decoder | None = None) -> DataFr
     )
 
 
-def record_session_tables(packets: DataFrame, formats: DataFrame, decoder: Decoder | None = None) -> dict[str, DataFrame]:
+def recorded_parameters(packets: DataFrame, formats: DataFrame | None, decoder: Decoder | None = None) -> DataFrame:
+    """``session_key, kind, parameter, interval_ns`` of all a log has samples of, errors included.
+
+    Taken from the lists of the blocks, before any sample is exploded; see ``assign_channels``.
+    """
+    return _parameters_of(_sized_blocks(packets, formats, decoder), error_definitions(_decoded(packets, "Error", decoder)))
+
+
+def _parameters_of(blocks: Sized, defined_errors: DataFrame) -> DataFrame:
+    periodic, rows, synchro = (_fitting(blocks[kind][1]) for kind in LISTS)
+    errors = defined_errors.select(
+        "session_key", F.lit("Error").alias("kind"), "parameter", F.lit(0).cast("bigint").alias("interval_ns")
+    )
+    parts = [
+        block_parameters(sm.drop_zero_interval(periodic), "Periodic"),
+        block_parameters(rows, "Row"),
+        block_parameters(synchro, "Synchro"),
+        errors,
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def record_session_tables(
+    packets: DataFrame,
+    formats: DataFrame,
+    decoder: Decoder | None = None,
+    channels: Callable[[DataFrame], DataFrame] = assign_channels,
+) -> dict[str, DataFrame]:
     """The tables of a log, or of a micro-batch of it, by name; rejects included.
 
-    Rows of different batches only ever add up; ``close_sessions`` folds them. Definitions are
+    Rows of different batches only ever add up; ``closing_tables`` folds them. Definitions are
     those that the packets bring; names and ids are resolved, and what cannot be is in ``rejects``.
+    ``channels`` numbers the recorded parameters: by themselves, or, for micro-batches, in a registry
+    that all batches share (``sources.registry.register_channels``).
     """
     def decoded(kind: str) -> DataFrame:
         return _decoded(packets, kind, decoder)
 
+    blocks = _sized_blocks(packets, formats, decoder)
     markers = decoded("Marker").withColumnRenamed("content_type", "type")
+    errors = decoded("Error")
     config = dedupe_config(decoded("Configuration"), by=["session_key"])
     sessions_log = session_log_of(packets, decoder)
+    defined_errors = error_definitions(errors)
+    numbered = channels(_parameters_of(blocks, defined_errors))
     return {
-        "samples": samples_of(packets, formats, decoder),
+        "samples": _samples_of(blocks),
+        "channels": numbered,
+        "error_samples": race.error_samples(errors, defined_errors, numbered),
         "lap_triggers": race.lap_triggers(markers).withColumn("day_ns", day_time("ts_ns")),
         "markers": race.point_markers(markers),
         "events": resolve_event(decoded("Event"), formats).where(F.col("event_identifier").isNotNull()),
-        "errors": decoded("Error"),
-        "error_definitions": error_definitions(decoded("Error")),
+        "errors": errors,
+        "error_definitions": defined_errors,
         "can_frames": sm.can_frames(decoded("RawCANData")),
         "coverage": decoded("CoverageCursorInfo"),
         "metadata": race.metadata_items(decoded("Metadata")),
@@ -245,7 +297,7 @@ def record_session_tables(packets: DataFrame, formats: DataFrame, decoder: Decod
         "session_log": sessions_log,
         "details": sessions.session_details(sessions_log),
         "ranges": sessions.session_time_range(time_records_of(packets, decoder)),
-        "rejects": rejects_of(packets, formats, decoder),
+        "rejects": _rejects_of(packets, formats, decoder, blocks),
     }
 
 
@@ -264,3 +316,23 @@ def close_sessions(
     )
     summary = sessions.session_summary(catalog, folded, named)
     return summary, named.unionByName(laps.default_lap(folded, lap_triggers))
+
+
+def closing_tables(stored: Callable[[str], DataFrame]) -> dict[str, DataFrame]:
+    """What is known of recorded sessions as a whole, by name, from their stored tables.
+
+    ``stored`` reads a table of ``record_session_tables`` by its name. The catalogue, the current
+    details, the ranges, the closing records and the laps have one state each, so they are made when
+    a session is complete, from the rows of all batches.
+    """
+    log = stored("session_log")
+    catalog = sessions.session_catalog(log)
+    summary, named = close_sessions(catalog, stored("ranges"), stored("lap_triggers"))
+    return {
+        "catalog": catalog,
+        "current_details": sessions.session_details(log),
+        "associated": sessions.associated_sessions(log),
+        "closing_records": summary,
+        "laps": named,
+        "channel_list": stored("channels").distinct(),
+    }

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-import json
 import uuid
 from collections.abc import Mapping
 from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession, functions as F
 
+from stintlog.sources import manifest
+
 # Folders per table. A fixed number holds any number of sessions, and rows are sorted by
 # session inside, so one session is found by folder and by row-group statistics.
 SESSION_BUCKETS = 64
@@ -55,46 +56,21 @@ def write_batch(tables: Mapping[str, DataFrame], path: str, batch_id: int) -> No
         )
 
 
-# What a kind's live folders are, one file a version; the highest one counts. Spark reads no file or
-# folder whose name starts with an underscore unless it is told to.
-_MANIFEST = "_manifest-{:08d}.json"
+# A kind's manifest: version, merged folder, the last batch in it, folders it replaced.
+_EMPTY = {"version": 0, "merged": None, "upto": -1, "replaced": []}
 _MERGED = "_merged-"
 
 
-def _folder(spark: SparkSession, name: str):
-    """A folder as a Hadoop path, and its file system."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(name)
-    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
-def _names(spark: SparkSession, folder: str) -> list[str]:
-    path, fs = _folder(spark, folder)
-    return [f.getPath().getName() for f in fs.listStatus(path)] if fs.exists(path) else []
-
-
-def _manifest(spark: SparkSession, folder: str) -> dict:
-    """The current manifest of a kind: version, merged folder, the last batch in it, folders it replaced."""
-    versions = sorted(n for n in _names(spark, folder) if n.startswith("_manifest-") and n.endswith(".json"))
-    if not versions:
-        return {"version": 0, "merged": None, "upto": -1, "replaced": []}
-    path, fs = _folder(spark, f"{folder}/{versions[-1]}")
-    stream = fs.open(path)
-    try:
-        return json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-    finally:
-        stream.close()
-
-
 def _batches(spark: SparkSession, folder: str, after: int) -> list[int]:
     """Finished micro-batches after the given one; one that is being written has no mark of success."""
-    found = sorted(int(n.split("=")[1]) for n in _names(spark, folder) if n.startswith("batch="))
-    return [b for b in found if b > after and "_SUCCESS" in _names(spark, f"{folder}/batch={b}")]
+    found = sorted(int(n.split("=")[1]) for n in manifest.names(spark, folder) if n.startswith("batch="))
+    return [b for b in found if b > after and "_SUCCESS" in manifest.names(spark, f"{folder}/batch={b}")]
 
 
 def _parts(spark: SparkSession, path: str, kind: str) -> list[DataFrame]:
     """The live parts of a kind's table: the clustered one, if there is one, and newer micro-batches."""
     folder = f"{path}/{kind}"
-    now = _manifest(spark, folder)
+    now = manifest.current(spark, folder) or _EMPTY
     if not now["version"]:
         return [spark.read.parquet(folder)]
     parts = [spark.read.parquet(f"{folder}/{now['merged']}")]
@@ -114,12 +90,11 @@ def compact_table(spark: SparkSession, path: str, kind: str, final: bool = False
     anything was merged; also false if another call was quicker.
     """
     folder = f"{path}/{kind}"
-    now = _manifest(spark, folder)
+    now = manifest.current(spark, folder) or _EMPTY
     batches = _batches(spark, folder, now["upto"])
     batches = batches if final else batches[:-1]
     for name in now["replaced"]:
-        old, fs = _folder(spark, f"{folder}/{name}")
-        fs.delete(old, True)
+        manifest.delete(spark, f"{folder}/{name}")
     if not batches:
         return False
     records = spark.read.option("basePath", folder).parquet(*[f"{folder}/batch={b}" for b in batches]).drop(*LAYOUT)
@@ -129,23 +104,9 @@ def compact_table(spark: SparkSession, path: str, kind: str, final: bool = False
     _clustered(records).parquet(f"{folder}/{merged}")
     replaced = [*([now["merged"]] if now["merged"] else []), *(f"batch={b}" for b in batches)]
     then = {"version": now["version"] + 1, "merged": merged, "upto": batches[-1], "replaced": replaced}
-    if _publish(spark, folder, then):
-        return True
-    mine, fs = _folder(spark, f"{folder}/{merged}")
-    fs.delete(mine, True)
-    return False
-
-
-def _publish(spark: SparkSession, folder: str, manifest: dict) -> bool:
-    """Make a manifest current; false if its version exists already."""
-    target, fs = _folder(spark, f"{folder}/{_MANIFEST.format(manifest['version'])}")
-    draft, _ = _folder(spark, f"{folder}/_draft-{uuid.uuid4().hex}")
-    stream = fs.create(draft, False)
-    stream.write(bytearray(json.dumps(manifest).encode()))
-    stream.close()
-    if not fs.exists(target) and fs.rename(draft, target):
+    if manifest.publish(spark, folder, then):
         return True
-    fs.delete(draft, False)
+    manifest.delete(spark, f"{folder}/{merged}")
     return False
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -10,15 +11,19 @@ from pyspark.sql.streaming import StreamingQuery
 from stintlog.functions.names import full_identifier
 from stintlog.functions.times import NS_PER_SECOND, int_div, to_timestamp
 from stintlog.operators.packets import ReadSpec
-from stintlog.plans.recording import LISTS, record_session_tables, rejects_of, samples_of
+from stintlog.plans.recording import LISTS, closing_tables, record_session_tables, rejects_of, samples_of
 from stintlog.schemas import LONG, TEXT, record
 from stintlog.sources.packet_log import read_packets
-from stintlog.sources.session_tables import write_batch
+from stintlog.sources.registry import register_channels
+from stintlog.sources.session_tables import load_session, write_batch, write_session_tables
 from stintlog.streaming.stateful import GIVEN_UP, REVISION, hold_rows
 
 # Keys of a stream join that one (session, parameter) is spread over.
 SALTS = 16
 
+# Where a recording keeps the ids of its channels, below its tables.
+CHANNEL_REGISTRY = "_channel_registry"
+
 # A stopped session closes after this long without a packet.
 IDLE_NS = 10 * NS_PER_SECOND
 
@@ -89,15 +94,18 @@ def replay_history(
 ) -> None:
     """Record a complete session once, all its tables, in batches of so many files; then stop.
 
-    ``plans.recording.close_sessions`` makes the closing records from the tables.
+    The batches share one registry of channels. Once all are recorded, the tables of
+    ``plans.recording.closing_tables`` are written beside the others.
     """
     packets = read_packets(
         spark, log, ReadSpec(session_key=session_key), streaming=True, files_per_trigger=files_per_trigger
     )
+    channels = partial(register_channels, spark, f"{path}/{CHANNEL_REGISTRY}")
     query = stream_tables(
-        packets, lambda batch: record_session_tables(batch, formats), path, checkpoint
+        packets, lambda batch: record_session_tables(batch, formats, channels=channels), path, checkpoint
     )
     query.awaitTermination()
+    write_session_tables(closing_tables(partial(load_session, spark, path, session_key=session_key)), path)
 
 
 def hold_and_replay(

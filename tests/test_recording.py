@@ -67,6 +67,17 @@ def test_whole_session(spark):
     assert sorted((r.item_key, r.str_value, r.dbl_value) for r in tables["metadata"].collect()) == [("k", "v", None), ("n", None, 1.5)]
     assert sorted(r.reason for r in tables["rejects"].collect()) == ["no list of numbers", "unknown type"]
 
+    numbered = sorted((r.session_key, r.space, r.parameter, r.channel_interval // S) for r in tables["channels"].collect())
+    assert numbered == [
+        ("A", "Periodic", "a:X", 1), ("A", "Periodic", "b", 1), ("A", "Row", "price:Sales", 0), ("A", "Row", "qty:Sales", 0),
+        ("A", "Synchro", "s", 0),
+    ]
+    closed = recording.closing_tables(tables.get)
+    assert {r.session_key: r.is_complete for r in closed["catalog"].collect()} == {"A": True, "B": False}
+    assert closed["laps"].count() == 4 and closed["channel_list"].count() == 5 and closed["closing_records"].count() == 2
+    assert sorted(tuple(r) for r in closed["current_details"].collect()) == [("A", "Driver", "U"), ("A", "Track", "V")]
+    assert [tuple(r) for r in closed["associated"].collect()] == [("A", "P")]
+
     summary, laps = recording.close_sessions(catalog, tables["ranges"], tables["lap_triggers"])
     assert sorted((r.session_key, r.start_ns // S, r.end_ns // S, r.n_laps, r.n_counting) for r in summary.collect()) == [
         ("A", 5, 200, 3, 0), ("B", 3, 3, 1, 0),

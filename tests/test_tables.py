@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stintlog.session import shared_dir
-from stintlog.sources import session_tables as st
+from stintlog.sources import manifest, session_tables as st
 
 SCHEMA = "session_key string, pkt_offset bigint"
 
@@ -53,7 +53,7 @@ def test_crash_before_the_swap(spark, path, monkeypatch):
     def crash(*_):
         raise OSError("lost")
 
-    monkeypatch.setattr(st, "_publish", crash)
+    monkeypatch.setattr(manifest, "publish", crash)
     with pytest.raises(OSError):
         st.compact_table(spark, path, "t")
     assert stored(spark, path) == [*range(30)]
@@ -62,14 +62,14 @@ def test_crash_before_the_swap(spark, path, monkeypatch):
 
 
 def test_another_call_was_quicker(spark, path, monkeypatch):
-    publish = st._publish
+    publish = manifest.publish
 
-    def late(spark, folder, manifest):
-        monkeypatch.setattr(st, "_publish", publish)
+    def late(spark, folder, then):
+        monkeypatch.setattr(manifest, "publish", publish)
         assert st.compact_table(spark, path, "t")
-        return publish(spark, folder, manifest)
+        return publish(spark, folder, then)
 
-    monkeypatch.setattr(st, "_publish", late)
+    monkeypatch.setattr(manifest, "publish", late)
     assert not st.compact_table(spark, path, "t")
     assert stored(spark, path) == [*range(30)]
 

@@ -1,13 +1,14 @@
 """Sessions: the catalogue folded from the log, its queries, time ranges and summaries.
 
-A session log has ``pkt_offset, type, session_key, data_source, identifier, assoc_key``.
+A session log has ``pkt_offset, type, session_key, data_source, identifier, assoc_key``. Offsets
+count per stream, so the columns of ``ARRIVAL`` that a log has decide which packet is later.
 Folding uses aggregates that combine before the shuffle, so a busy session is no hot key.
 Sets and maps come out as rows: one row per element, however many a session has.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from stintlog.functions.names import title_or_untitled
 from stintlog.functions.times import int_div
@@ -19,6 +20,16 @@ RANGE_KINDS = ("Periodic", "Row", "Synchro", "CAN", "Coverage")
 INFO_COLUMNS = ("session_type", "version", "utc_offset", "streams", "offsets", "main_offset", "essentials_offset")
 
 
+# What orders the packets of several streams, the first that differs deciding.
+ARRIVAL = ("submit_time", "pkt_offset", "stream", "partition")
+
+
+def arrival(log: DataFrame) -> Column:
+    """The place of a packet in the order of arrival."""
+    known = [c for c in ARRIVAL if c in log.columns]
+    return F.struct(*known) if len(known) > 1 else F.col(known[0])
+
+
 def session_catalog(log: DataFrame) -> DataFrame:
     """One row per session: source, identifier, whether complete, first and last offset.
 
@@ -26,15 +37,16 @@ def session_catalog(log: DataFrame) -> DataFrame:
     ``INFO_COLUMNS``, those the log has are included with their latest value.
     """
     is_update = (F.col("type") == "SessionInfo") | (F.col("identifier") != "")
+    at = arrival(log)
     info = [
-        F.max_by(c, F.when(F.col(c).isNotNull(), F.col("pkt_offset"))).alias(c)
+        F.max_by(c, F.when(F.col(c).isNotNull(), at)).alias(c)
         for c in INFO_COLUMNS
         if c in log.columns
     ]
     return log.groupBy("session_key").agg(
-        F.min_by("data_source", "pkt_offset").alias("data_source"),
+        F.min_by("data_source", at).alias("data_source"),
         title_or_untitled(
-            F.max_by("identifier", F.when(is_update, F.col("pkt_offset")))
+            F.max_by("identifier", F.when(is_update, at))
         ).alias("identifier"),
         F.bool_or(F.col("type") == "EndOfSession").alias("is_complete"),
         F.min("pkt_offset").alias("first_offset"),
@@ -91,7 +103,7 @@ def load_first_historical(catalog: DataFrame) -> DataFrame:
 def session_identifier(updates: DataFrame) -> DataFrame:
     """Last identifier of each session; an empty one shows as untitled."""
     return updates.groupBy("session_key").agg(
-        title_or_untitled(F.max_by("identifier", "pkt_offset")).alias("identifier")
+        title_or_untitled(F.max_by("identifier", arrival(updates))).alias("identifier")
     )
 
 
@@ -101,9 +113,9 @@ def session_details(updates: DataFrame) -> DataFrame:
     Takes ``session_key, pkt_offset, details`` with ``details`` a map.
     """
     return (
-        updates.select("session_key", "pkt_offset", F.explode("details").alias("detail", "value"))
+        updates.select("session_key", arrival(updates).alias("_at"), F.explode("details").alias("detail", "value"))
         .groupBy("session_key", "detail")
-        .agg(F.max_by("value", "pkt_offset").alias("value"))
+        .agg(F.max_by("value", "_at").alias("value"))
     )
 
 

@@ -206,7 +206,8 @@ def time_records_of(packets: DataFrame, decoder: Decoder | None = None) -> DataF
 
 def session_log_of(packets: DataFrame, decoder: Decoder | None = None) -> DataFrame:
     """The session packets of a log in one shape; see ``operators.sessions``."""
-    envelope = packets.select("pkt_offset", "data_source", "session_key", "type", "content")
+    place = [c for c in sessions.ARRIVAL if c in packets.columns and c != "pkt_offset"]
+    envelope = packets.select("pkt_offset", "data_source", "session_key", "type", "content", *place)
     opened, updated, ended = (
         pk.decode_content(envelope, kind, decoder=decoder) for kind in ("NewSession", "SessionInfo", "EndOfSession")
     )
@@ -218,6 +219,7 @@ def session_log_of(packets: DataFrame, decoder: Decoder | None = None) -> DataFr
     )
     return rows.select(
         "pkt_offset",
+        *place,
         "type",
         "session_key",
         F.coalesce("content_data_source", "data_source").alias("data_source"),

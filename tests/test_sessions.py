@@ -96,3 +96,22 @@ def test_shared_folder_never_depends_on_the_master():
 
     assert session.shared_dir(Session(spark_checkpoint_dir="s3://bucket/"), "p").startswith("s3://bucket/p-")
     assert session.shared_dir(Session(spark_sql_warehouse_dir="file:/w"), "p").startswith("file:/w/work/p-")
+
+
+def test_streams_that_share_offsets(spark):
+    rows = [
+        ("S", 7, "NewSession", "DS", "first", {"a": "1", "b": "1"}, "main", 0, 1),
+        ("S", 7, "SessionInfo", "DS", "second", {"a": "2"}, "info", 0, 2),
+        ("S", 1, "SessionInfo", "DS", "third", {"b": "3"}, "info", 1, 3),
+        ("S", 3, "EndOfSession", "Other", "", None, "main", 1, 4),
+    ]
+    log = spark.createDataFrame(
+        rows, "session_key string, pkt_offset bigint, type string, data_source string, identifier string,"
+        " details map<string, string>, stream string, partition int, second bigint",
+    )
+    log = log.withColumn("submit_time", F.timestamp_seconds("second")).drop("second")
+    (found,) = ss.session_catalog(log).collect()
+    assert (found.data_source, found.identifier, found.is_complete) == ("DS", "third", True)
+    assert (found.first_offset, found.last_offset) == (1, 7)
+    assert sorted(tuple(r) for r in ss.session_details(log).collect()) == [("S", "a", "2"), ("S", "b", "3")]
+    assert ss.session_identifier(log.where("type <> 'EndOfSession'")).first().identifier == "third"

@@ -260,8 +260,8 @@ def train(units_of: dict[int, set[str]], toxic: dict[int, int]) -> ToxicityModel
 def learn(docs: DataFrame, labels: DataFrame, held_out: int = 0, folds: int = 5) -> ToxicityModel:
     """A model from labelled documents whose fold is not ``held_out``.
 
-    The sample is bounded (``TOXIC_SAMPLE``, ``CLEAN_SAMPLE`` documents); its words come to the
-    driver. Labels without id or value are left out, a document labelled both ways counts as toxic.
+    The sample is bounded (``TOXIC_SAMPLE``, ``CLEAN_SAMPLE`` documents); its words go to one task,
+    which fits. Labels without id or value are left out, a document labelled both ways counts as toxic.
     """
     known = labels.select(labels["doc_id"].cast("long").alias("id"), labels["toxic"].cast("int").alias("toxic"))
     known = known.filter(F.col("id").isNotNull() & F.col("toxic").isNotNull() & (fold(F.col("id"), folds) != held_out))
@@ -275,20 +275,28 @@ def learn(docs: DataFrame, labels: DataFrame, held_out: int = 0, folds: int = 5)
             rows = [(d, y, u) for d, y, t in zip(frame["doc_id"], frame["toxic"], frame["text"]) for u in {*map(unit_of, words_of(t))} if u]
             yield pd.DataFrame(rows, columns=["doc_id", "toxic", "unit"])
 
+    def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        toxic: dict[int, int] = {}
+        units_of: dict[int, set[str]] = defaultdict(set)
+        same: dict[str, str] = {}  # each different word once, however many documents have it
+        for batch in batches:
+            for d, y, u in zip(*(batch[c].to_pylist() for c in ("doc_id", "toxic", "unit"))):
+                toxic[d] = y
+                units_of[d].add(same.setdefault(u, u))
+        made = train(units_of, toxic)
+        columns = [[made.landmarks], [made.beta.tolist()], [made.bias]]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["landmarks", "beta", "bias"])
+
+    kinds = [pa.list_(pa.string()), pa.list_(pa.float64()), pa.float64()]
     chosen = documents(docs).join(F.broadcast(sample), F.col("doc_id") == F.col("id"))
-    rows = chosen.select("doc_id", "toxic", "text").mapInPandas(words, "doc_id long, toxic int, unit string").toArrow()
-    ids = rows["doc_id"].to_pylist()
-    toxic = dict(zip(ids, rows["toxic"].to_pylist()))
-    # Each different word once, however many documents have it.
-    coded = pa.chunked_array([rows["unit"].combine_chunks()]).dictionary_encode().combine_chunks()
-    shown = coded.dictionary.to_pylist()
-    units_of: dict[int, set[str]] = defaultdict(set)
-    for d, u in zip(ids, coded.indices.to_pylist()):
-        units_of[d].add(shown[u])
-    del rows, coded, ids
-    model = train(units_of, toxic)
+    rows = chosen.select("doc_id", "toxic", "text").mapInPandas(words, "doc_id long, toxic int, unit string")
+    # One task fits, since the sample is bounded; the driver gets the landmarks and their weights only.
+    made = rows.repartition(1).mapInArrow(fitted, "landmarks array<string>, beta array<double>, bias double").collect()
+    if not made:  # no partition at all, as of an empty sample
+        return train({}, {})
+    model = ToxicityModel(made[0].landmarks, np.array(made[0].beta), made[0].bias, 1.0, 0.0)
     if not model.landmarks:
-        return model
+        return replace(model, shift=-30.0)
     # Calibrated on the margins of the whole texts, words counted as in scoring.
     margin = margins_of(docs.sparkSession, model)
     rows = chosen.select("toxic", margin(F.col("text")).alias("margin")).toPandas().sort_values(["toxic", "margin"])

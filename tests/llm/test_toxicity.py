@@ -144,3 +144,13 @@ def test_what_is_broadcast_needs_no_package(spark, monkeypatch):
     monkeypatch.setattr(kind, "broadcast", lambda self, value: (sent.append(value), real(self, value))[1])
     tx.scorer_of(spark, tx.ToxicityModel(["\x02idiot\x03"], np.ones(1), -1.0, 1.0, 0.0))
     assert len(sent) == 1 and b"stintlog" not in pickle.dumps(sent)
+
+
+def test_the_driver_gets_no_words_of_the_sample(spark, monkeypatch):
+    rows, labels = corpus()
+    docs, table, got = frame(spark, rows), spark.createDataFrame(labels, "doc_id long, toxic int"), []
+    for name in ("collect", "toArrow", "toPandas"):
+        real = getattr(type(docs), name)
+        monkeypatch.setattr(type(docs), name, lambda self, real=real: (got.append({*self.columns}), real(self))[1])
+    assert tx.learn(docs, table).landmarks
+    assert got and not [columns for columns in got if {"unit", "text"} & columns]

@@ -275,19 +275,26 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ids of parameter lists that a stream brings in four files, and that come once more in another stream."""
+    """Ids of parameter lists that a stream brings in four parts, and that come once more in another stream."""
     lists = table(spark, sf_dir, "lineitem").selectExpr(
         "l_orderkey * 8 + l_linenumber as pkt_offset", "array(concat('P', l_partkey % 40), concat('P', l_suppkey % 7)) as params"
     )
     arrived, path = shared_dir(spark, "lists"), shared_dir(spark, "formats")
     quarter = F.lit(lists.agg(F.max("pkt_offset").alias("top")).first().top // 4 + 1)
-    for number in range(4):
-        part = lists.where((F.col("pkt_offset") >= quarter * number) & (F.col("pkt_offset") < quarter * (number + 1)))
-        part.coalesce(1).write.mode("append").parquet(arrived)
-    for files in (1, 3):
-        source = spark.readStream.schema(lists.schema).option("maxFilesPerTrigger", files).parquet(arrived)
+
+    def read(checkpoint: str, **limit: int) -> None:
+        source = spark.readStream.schema(lists.schema).options(**limit).parquet(arrived)
         query = source.writeStream.foreachBatch(
             lambda batch, _: registry.register_formats(spark, path, batch, "parameter") and None
         )
-        query.option("checkpointLocation", shared_dir(spark, "lists-checkpoint")).trigger(availableNow=True).start().awaitTermination()
+        query.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+    # A part has as many files as tasks wrote it; the stream takes each part, all its files, as one batch.
+    first = shared_dir(spark, "lists-checkpoint")
+    for number in range(4):
+        part = lists.where((F.col("pkt_offset") >= quarter * number) & (F.col("pkt_offset") < quarter * (number + 1)))
+        part.write.mode("append").parquet(arrived)
+        read(first)
+    files = len(spark.read.schema(lists.schema).parquet(arrived).inputFiles())
+    read(shared_dir(spark, "lists-checkpoint"), maxFilesPerTrigger=max(1, 3 * files // 4))
     return registry.known_formats(spark, path).select("format_id", F.array_join("params", ",").alias("names"))

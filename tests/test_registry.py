@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
 
+import checks.streams  # noqa: F401  (registers the query)
+from checks.registry import QUERIES
 from stintlog.session import shared_dir
 from stintlog.sources import manifest, registry
 
@@ -96,3 +100,23 @@ def test_channels_over_batches(spark):
     key = ("S", "Periodic", "a", 7)
     assert sorted(v for k, v in first.items() if k[0] == "S") == [1, 2, 3] and first["T", "Row", "a", 0] == 1
     assert then == {("S", "Row", "e", 0): first["S", "Row", "e", 0], ("S", "Row", "b", 0): 4, key: first[key]}
+
+
+def test_parts_of_a_stream_are_written_by_many_tasks(spark, tmp_path):
+    """Each part arrives in several files, and still counts as one batch: ids follow the first offsets."""
+    lines = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").limit(300)
+    lines.repartition(6).write.parquet(str(tmp_path / "lineitem.parquet"))
+    base = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+    before, cost = {*base.glob("lists-*")}, spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", "128m")
+    try:
+        made = {r.names: r.format_id for r in QUERIES["register_formats_live"](spark, str(tmp_path)).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", cost)
+    first: dict = {}
+    for r in lines.collect():
+        names, at = f"P{r.l_partkey % 40},P{r.l_suppkey % 7}", r.l_orderkey * 8 + r.l_linenumber
+        first[names] = min(at, first.get(names, at))
+    assert made == {names: i for i, names in enumerate(sorted(first, key=lambda n: (first[n], n)), start=1)}
+    written = [f for folder in {*base.glob("lists-*")} - before for f in folder.glob("part-*.parquet")]
+    assert len(written) > 4

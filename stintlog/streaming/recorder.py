@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
 from functools import partial
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -21,6 +22,9 @@ from stintlog.streaming.stateful import GIVEN_UP, REVISION, hold_rows
 # Keys of a stream join that one (session, parameter) is spread over.
 SALTS = 16
 
+# Definitions that a task remembers, to send each once.
+REMEMBERED = 200_000
+
 # Where a recording keeps the ids of its channels, below its tables.
 CHANNEL_REGISTRY = "_channel_registry"
 
@@ -165,6 +169,36 @@ def _above_watermark(df: DataFrame, condition: Column) -> DataFrame:
     return df.where(F.when(F.col("submit_time").isNotNull(), condition).otherwise(F.lit(False)))
 
 
+def _once(definitions: DataFrame) -> DataFrame:
+    """``session_key, name, submit_time`` of definitions: of those that a task reads again, the last to arrive.
+
+    Repeats say nothing new, but each would go to every salt's state. A task remembers up to
+    ``REMEMBERED`` names; past that it starts anew, and more repeats pass.
+    """
+    most = REMEMBERED
+
+    def latest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def told() -> pa.RecordBatch:
+            rows = [(*key, at) for key, at in held.items()]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
+
+        held: dict[tuple, int | None] = {}
+        for batch in batches:
+            for session, name, at in zip(*(column.to_pylist() for column in batch.columns)):
+                before = held.get((session, name))
+                held[session, name] = before if before is not None and (at is None or at <= before) else at
+            if len(held) >= most:
+                yield told()
+                held.clear()
+        if held:
+            yield told()
+
+    names, kinds = ["session_key", "name", "at"], [pa.string(), pa.string(), pa.int64()]
+    rows = definitions.select("session_key", full_identifier(F.col("parameter")).alias("name"), F.unix_micros("submit_time").alias("at"))
+    once = rows.mapInArrow(latest, "session_key string, name string, at long")
+    return once.select("session_key", "name", F.timestamp_micros("at").alias("submit_time"))
+
+
 def live_blocks(
     packets: DataFrame,
     formats: DataFrame,
@@ -211,9 +245,7 @@ def live_blocks(
     resolved = found.unionByName(inline)
     if definitions is not None:
         names = F.coalesce(F.when(F.col("reason").isNull(), _named_list(resolved)), F.array().cast("array<string>"))
-        defined = definitions.withWatermark("submit_time", lateness).select(
-            "session_key", "submit_time", full_identifier(F.col("parameter")).alias("name"), F.lit("defined").alias("fact")
-        )
+        defined = _once(definitions).withWatermark("submit_time", lateness).withColumn("fact", F.lit("defined"))
         settled = hold_rows(
             resolved.withColumn("needs", names), defined, ["session_key"], wait, idle, salts
         )

@@ -238,24 +238,27 @@ class Held(StatefulProcessor):
         return dict(tuple(pair) for pair in self.known.get()) if self.known.exists() else {}
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        newest, alarm_ms = self.clock.get() or (None, None)
+        clock = self.clock.get()  # a key without it has no state at all, and each look costs a call
+        newest, alarm_ms = clock or (None, None)
         fresh, told = [], {}
         for batch in rows:
             latest = int(batch["arrived_ms"].max())
             newest = latest if newest is None else max(newest, latest)
-            facts = batch[batch["role"] == _FACT]
-            told.update(zip(facts["fact_name"], facts["fact"]))
-            own = batch[batch["role"] == _ROW]
-            for row, needs, arrived in zip(own["row"], own["needs"], own["arrived_ms"].tolist()):
-                fresh.append((row, list(needs), arrived))
-        known = self._known() if told or any(needs for _, needs, _ in fresh) else {}
+            # Lists: to cut frames of few rows costs more than all else.
+            columns = (batch[c].tolist() for c in ("role", "fact_name", "fact", "row", "needs", "arrived_ms"))
+            for role, name, fact, row, needs, arrived in zip(*columns):
+                if role == _FACT:
+                    told[name] = fact
+                else:
+                    fresh.append((row, list(needs), arrived))
+        known = self._known() if clock and (told or any(needs for _, needs, _ in fresh)) else {}
         changed = [(name, fact) for name, fact in told.items() if known.get(name) != fact]
         if changed:
             # An id hardly ever changes its meaning; where it does, the list is written anew.
             again = any(name in known for name, _ in changed)
             known.update(changed)
             self.known.put([*known.items()]) if again else self.known.appendList(changed)
-        held = [tuple(w) for w in self.waiting.get()] if changed and self.waiting.exists() else []
+        held = [tuple(w) for w in self.waiting.get()] if clock and changed and self.waiting.exists() else []
         ready: list[tuple] = []
         wait: list[list[tuple]] = []
         for part in (held, fresh):

@@ -226,3 +226,16 @@ def test_streams_are_discovered_once(spark, tmp_path):
     got = sorted((r.session_key, r.stream, r.start_offset) for r in session_tables.load_table(spark, path, "streams").collect())
     assert got == [("A", "s1", 0), ("A", "s2", 9), ("A", "s3", 0), ("B", "s1", 4)]
     assert held_sessions(spark, checkpoint) == {"~"}
+
+
+def test_a_task_sends_a_definition_once(spark, monkeypatch):
+    told = [("S1", "a:x", i) for i in range(50)] + [("S1", "b:x", 7), (None, "a:x", 3), ("S2", "a:x", 9), ("S2", "a:x", None)]
+    table = spark.createDataFrame(told, "session_key string, parameter string, s long").coalesce(1)
+    table = table.selectExpr("session_key", "parameter", "timestamp_seconds(s) as submit_time")
+
+    def sent():
+        return sorted((str(r.session_key), r.name, r.s) for r in recorder._once(table).selectExpr("*", "unix_seconds(submit_time) as s").collect())
+
+    assert sent() == [("None", "a:x", 3), ("S1", "a:x", 49), ("S1", "b:x", 7), ("S2", "a:x", 9)]
+    monkeypatch.setattr(recorder, "REMEMBERED", 1)  # past what it remembers nothing is lost
+    assert {row[:2] for row in sent()} == {("None", "a:x"), ("S1", "a:x"), ("S1", "b:x"), ("S2", "a:x")}

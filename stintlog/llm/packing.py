@@ -12,10 +12,11 @@ import heapq
 import json
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,10 +28,11 @@ from stintlog.llm.common import documents, per_worker, written
 PIECES_PER_GROUP = 1_024
 
 # Bytes of words and of their ids, with what Python adds to each, that a Python worker remembers; a
-# full memory is emptied. Longer words are not remembered.
-REMEMBERED, EACH, LONGEST = 256 << 20, 150, 256
+# full memory is emptied. An executor has a worker for each core beside its heap; with what is looked
+# up, this takes a worker some 200 MB. Longer words are not remembered.
+REMEMBERED, EACH, LONGEST = 128 << 20, 150, 256
 # Characters of the texts whose new words are looked up together.
-TOGETHER = 1 << 20
+TOGETHER = 1 << 18
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 PACKED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -122,8 +124,8 @@ class WordEncoder:
         for w in [w for w in seen.keys() & new if len(w) > LONGEST] if any(len(w) > LONGEST for w in new) else ():
             self._held -= len(w) + len(seen.pop(w)) + EACH
 
-    def ids(self, texts: list[str]) -> Iterator[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit integers."""
+    def ids(self, texts: Iterable[str]) -> Iterator[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit integers; few texts are held at a time."""
         part: list[str] = []
         size = 0
         for text in texts:
@@ -153,20 +155,23 @@ def token_pieces(docs: DataFrame, vocabulary_path: str, capacity: int, end_id: i
     encoder = _encoder(docs.sparkSession, vocabulary_path)
     end = np.array([end_id], dtype="<u4").tobytes()
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = encoder()
-        for frame in frames:
+        for batch in batches:
             rows = []
-            for doc_id, ids in zip(frame["doc_id"], made.ids(frame["text"].tolist())):
+            # One text after the other becomes a string; a whole batch of them need not fit beside the memory.
+            texts = (text.as_py() for text in batch.column("text"))
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), made.ids(texts)):
                 ids += end
                 total = len(ids) // 4
                 for start in range(0, total, capacity):
                     piece = ids[4 * start : 4 * (start + capacity)]
                     rows.append((doc_id, start, len(piece) // 4, zlib.crc32(piece), total))
-            out = pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
-            yield out.astype({"doc_id": "Int64"})
+            if rows:
+                names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
+                yield pa.RecordBatch.from_arrays([pa.array(column, pa.int64()) for column in zip(*rows)], names)
 
-    return documents(docs, id_col, text_col).mapInPandas(run, PIECES)
+    return documents(docs, id_col, text_col).mapInArrow(run, PIECES)
 
 
 def difference(sizes: np.ndarray, windows: int) -> tuple[np.ndarray, int]:

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -68,6 +69,19 @@ def test_memories_may_be_emptied(monkeypatch):
     assert [codec.digests(t)[0] for t in few] == [len(codec.encode(t)) for t in few]
 
 
+def test_words_stay_within_a_workers_memory():
+    # Beside the heap an executor of 3000 MB has some 800 MB for two workers, which start with 150 each.
+    own = packing.WordEncoder(open(WORDS, encoding="utf-8").read())
+    letters = str.maketrans("0123456789", "abcdefghij")
+    texts = (" ".join(str(n).translate(letters) for n in range(k, k + 10_000)) for k in range(10**7, 10**7 + 1_500_000, 10_000))
+    tracemalloc.start()
+    try:
+        assert sum(len(ids) > 0 for ids in own.ids(texts)) == 150
+        assert tracemalloc.get_traced_memory()[1] < 200 << 20
+    finally:
+        tracemalloc.stop()
+
+
 @pytest.mark.parametrize("windows", [1, 2, 3, 7])
 def test_difference_places_every_size(windows):
     rng = np.random.default_rng(windows)

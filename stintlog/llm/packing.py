@@ -29,8 +29,8 @@ PIECES_PER_GROUP = 1_024
 
 # Bytes of words and of their ids, with what Python adds to each, that a Python worker remembers; a
 # full memory is emptied. An executor has a worker for each core beside its heap; with what is looked
-# up, this takes a worker some 200 MB. Longer words are not remembered.
-REMEMBERED, EACH, LONGEST = 128 << 20, 150, 256
+# up, this takes a worker some 230 MB. Longer words are not remembered.
+REMEMBERED, EACH, LONGEST = 192 << 20, 150, 256
 # Characters of the texts whose new words are looked up together.
 TOGETHER = 1 << 18
 
